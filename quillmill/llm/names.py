@@ -165,6 +165,7 @@ def parse(raw: str | None) -> Form:
                 t = head
         s = t
     s = _MARKS.sub("", s).strip(" ,;·*")
+    s = re.sub(r"^([a-z])([A-Z])(?=[a-z-])", lambda m: m.group(2) + m.group(1), s)  # two letters swapped
     if not s:
         return Form("", "", (), alt)
     if _HANGUL.match(s):
@@ -262,7 +263,8 @@ def deletions(s: str) -> set[str]:
 
 
 def initials(given: str) -> str:
-    return "".join(readings(c)[0][:1] for c in given)
+    """First letters of the given names as they are usually romanised (K rather than G, W for a bare u)."""
+    return "".join({"g": "k"}.get(x, x) if (x := readings(c)[0][:1]) != "u" else "w" for c in given)
 
 
 _INI = str.maketrans("kptlcu", "gbdrjw")
@@ -362,11 +364,11 @@ def _likelihood(v: Form, c: Form) -> float:
                 if sur in readings(s, True):
                     mine = initials(g)
                     if given == mine:
-                        best = max(best, 0.05)
+                        best = max(best, 0.5)
                     elif given.translate(_INI) == mine.translate(_INI):
-                        best = max(best, 0.02)
+                        best = max(best, 0.0101)
                 elif surname_key(sur) in {surname_key(r) for r in readings(s, True)} and given == initials(g):
-                    best = max(best, 0.01)
+                    best = max(best, 0.0102)
                 continue
             if sur + given in _spelled(s, g):
                 best = max(best, 0.3)
@@ -416,7 +418,7 @@ def _likelihood(v: Form, c: Form) -> float:
                 if ini:
                     pieces = [x.split("-") for x in c.parts if "-" in x]
                     if surname_key(sur) == surname_key(cs) and pieces and given == "".join(x[:1] for x in pieces[0]):
-                        best = max(best, 0.05 if sur == cs else 0.03)
+                        best = max(best, 0.5 if sur == cs else 0.03)
                     continue
                 if surname_key(sur) == surname_key(cs) and skeleton(given) == skeleton(cg):
                     best = max(best, 0.3)
