@@ -95,7 +95,7 @@ class Transducer:
         # multi-character sources only count where a second character follows
         self.single = {s for s in self.rules if len(s) == 1}
         follow = {s[1] for s in self.rules if len(s) > 1}
-        risky = "".join(sorted(self.single | follow | set(LOOKALIKES)))
+        risky = "".join(sorted(self.single | follow | set(LOOKALIKES) | set(map(chr, range(0x1100, 0x1200)))))
         self.dirty = re.compile("[" + "".join(_span(risky)) + "]")
         self.letters = re.compile(r"[^\W\d_]+")
 
@@ -104,9 +104,14 @@ class Transducer:
             return s, 0
         out: list[str] = []
         kinds, i, n = 0, 0, len(s)
-        rules, heads, single = self.rules, self.heads, self.single
-        while i < n:
-            c = s[i]
+        rules, heads = self.rules, self.heads
+        for m in self.dirty.finditer(s):
+            at = m.start()
+            if at < i:
+                continue  # part of a longer match
+            if at > i:
+                out.append(s[i:at])
+            c, i = s[at], at
             if out and (unicodedata.combining(c) or "\u1161" <= c <= "\u11ff"):
                 # composes with what was written, whatever invisible stood between
                 both = unicodedata.normalize("NFC", out[-1][-1] + c)
@@ -115,22 +120,18 @@ class Transducer:
                     kinds |= DECOMPOSED
                     i += 1
                     continue
-            longest = heads.get(c)
-            if longest:
-                for m in range(min(longest, n - i), 0, -1):
-                    hit = rules.get(s[i : i + m])
-                    if hit is not None:
-                        if hit[0]:
-                            out.append(hit[0])
-                        kinds |= hit[1]
-                        i += m
-                        break
-                else:
-                    out.append(c)
-                    i += 1
+            for size in range(min(heads.get(c, 0), n - i), 0, -1):
+                hit = rules.get(s[i : i + size])
+                if hit is not None:
+                    if hit[0]:
+                        out.append(hit[0])
+                    kinds |= hit[1]
+                    i += size
+                    break
             else:
                 out.append(c)
                 i += 1
+        out.append(s[i:])
         text = "".join(out)
         folded = self.letters.sub(_fold_word(text), text)
         if folded != text:
