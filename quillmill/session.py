@@ -70,3 +70,10 @@ def ship_package(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most_rows`` (narrow) rows; else it is left to shuffle."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
