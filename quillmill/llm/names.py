@@ -91,7 +91,7 @@ _FOLD = (("sh", "s"), ("ch", "j"), ("eo", "u"), ("oo", "u"), ("ou", "u"), ("ee",
 _FOLD_ONE = str.maketrans("kptlc", "gbdrj")
 
 
-@lru_cache(100_000)
+@lru_cache(50_000)
 def skeleton(letters: str) -> str:
     """Latin letters with the differences between romanisations folded away."""
     s = letters
@@ -145,7 +145,7 @@ _PAREN = re.compile(r"^(.*\S)\s*\(([^()]+)\)?\s*$")
 _PREFIX = re.compile(r"^\s*\((?:재|주|사|유)\)\s*|^\s*(?:재단법인|주식회사|사단법인|㈜)\s*")
 
 
-@lru_cache(200_000)
+@lru_cache(40_000)
 def parse(raw: str | None) -> Form:
     """The form behind a written entry; decorations such as marks and titles are dropped."""
     s = canonical_text(raw) or ""
@@ -309,7 +309,7 @@ def block_keys(form: Form, name: bool = True) -> set[str]:
     return out
 
 
-@lru_cache(50_000)
+@lru_cache(20_000)
 def _skeletons(given: str) -> tuple[str, ...]:
     out = {""}
     for c in given:
@@ -317,7 +317,7 @@ def _skeletons(given: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-@lru_cache(50_000)
+@lru_cache(4_000)
 def _spelled(sur: str, given: str) -> frozenset[str]:
     """All letters-only spellings (surname first) of a Hangul name."""
     out = set(readings(sur, True))

@@ -39,7 +39,7 @@ def usable_year(y) -> bool:
     return y is not None and y == y and 1980 <= y <= 2026
 
 
-@lru_cache(50_000)
+@lru_cache(20_000)
 def title_parts(title: str | None) -> tuple[str, str, str]:
     """(whole, main, numbers): letters and digits of the title, of its part before the subtitle, and its numbers in order.
 
@@ -82,14 +82,14 @@ def order_minhash(s: str) -> list[int]:
     return [int(x) for x in out]
 
 
-@lru_cache(200_000)
+@lru_cache(60_000)
 def hash_str(s: str) -> int:
     import xxhash
 
     return xxhash.xxh64_intdigest(s)
 
 
-@lru_cache(100_000)
+@lru_cache(40_000)
 def author_keys(raw: str) -> frozenset[str]:
     """Initials of surname and first given name, folded so that all usual spellings share one key."""
     f = names.parse(raw)
@@ -128,22 +128,43 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def prefix_edits(short: str, long: str, most: int) -> int:
-    """Least edits that turn ``short`` into a prefix of ``long``, in a band; ``most + 1`` if more."""
-    n, m = len(short), min(len(long), len(short) + most)
-    prev = np.arange(m + 1)
-    if n > m + most:
+    """Least edits that turn ``short`` into a prefix of ``long``; ``most + 1`` if more.
+
+    One machine word a row of the alignment (the band is the text's first ``len(short) + most`` letters).
+    """
+    m = len(short)
+    if not m:
+        return 0
+    if m > len(long) + most:
         return most + 1
-    lcodes = np.frombuffer(long[:m].encode("utf-32-le"), dtype=np.uint32)
-    idx = np.arange(m + 1)
-    for i, c in enumerate(short, 1):
-        row = np.empty(m + 1, dtype=np.int64)
-        row[0] = i
-        row[1:] = np.minimum(prev[:-1] + (lcodes != ord(c)), prev[1:] + 1)
-        row = np.minimum.accumulate(row - idx) + idx
-        if row.min() > most:
-            return most + 1
-        prev = row
-    return int(min(prev.min(), most + 1))
+    at: dict[str, int] = {}
+    for i, c in enumerate(short):
+        at[c] = at.get(c, 0) | 1 << i
+    mask, last = (1 << m) - 1, 1 << (m - 1)
+    pv, mv, score = mask, 0, m
+    best = m
+    for c in long[: m + most]:
+        eq = at.get(c, 0)
+        xv = eq | mv
+        xh = (((eq & pv) + pv) ^ pv) | eq
+        ph = mv | ~(xh | pv) & mask
+        mh = pv & xh
+        if ph & last:
+            score += 1
+        elif mh & last:
+            score -= 1
+        ph = (ph << 1 | 1) & mask
+        mh = mh << 1 & mask
+        pv = (mh | ~(xv | ph)) & mask
+        mv = ph & xv
+        if score < best:
+            best = score
+    return min(best, most + 1)
+
+
+@lru_cache(8_000)
+def _grams(s: str) -> frozenset[str]:
+    return frozenset(s[i : i + K] for i in range(len(s) - K + 1))
 
 
 def same_title(a: tuple[str, str, str], b: tuple[str, str, str]) -> bool:
@@ -164,6 +185,9 @@ def same_title(a: tuple[str, str, str], b: tuple[str, str, str]) -> bool:
             return False
     if short == long[: len(short)]:
         return True
+    # an edit destroys at most K grams, so too many missing ones rule the pair out
+    if len(_grams(short) - _grams(long)) > K * most:
+        return False
     d = prefix_edits(short, long, most)
     if d <= most:
         return True
@@ -171,7 +195,7 @@ def same_title(a: tuple[str, str, str], b: tuple[str, str, str]) -> bool:
     return len(long) - len(short) <= 12 and prefix_edits(short[::-1], long[::-1], most) <= most
 
 
-@lru_cache(300_000)
+@lru_cache(60_000)
 def _same_name(a: str, b: str) -> bool:
     f, g = names.parse(a), names.parse(b)
     return names.likelihood(f, g) > 0 or names.likelihood(g, f) > 0
@@ -216,14 +240,15 @@ def same_publication(x, y, by_id: bool = False) -> bool:
     if usable_year(x[2]) and usable_year(y[2]) and abs(x[2] - y[2]) > 2:
         return False
     a, b = title_parts(x[0]), title_parts(y[0])
-    who = share_author(x[1], y[1])
-    if who is False:
-        return False
-    if not a[0] or not b[0]:
-        return by_id
-    if who is None and not by_id and not (a[0] == b[0] and len(a[0]) > 30):
+    if a[0] and b[0]:
+        if not same_title(a, b):
+            return False
+    elif not by_id:
         return False
-    return same_title(a, b)
+    who = share_author(x[1], y[1])
+    if who is None:
+        return by_id or a[0] == b[0] and len(a[0]) > 30
+    return who
 
 
 def records(papers: DataFrame) -> DataFrame:
