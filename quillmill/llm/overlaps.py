@@ -26,8 +26,8 @@ from quillmill.session import broadcast_if_small, materialise, ship_package
 
 #: Letters in a fingerprint, and window from which the least one is taken.
 GRAM, WINDOW = 24, 28
-#: A fingerprint in more texts is only a link together with the two that follow it.
-COMMON = 4
+#: Fingerprints in more texts are counted, to put a text's commonest ones first; this changes the cost, not the result.
+COUNTED = 4
 #: Letters in a passage of the automaton, and least run of them that counts.
 PASSAGE, RUN = 8, 24
 #: Share of the fingerprints that a candidate must have in common, and of both texts that must be covered.
@@ -146,20 +146,33 @@ class Shard:
                 where[t[-step:]].append((k, len(t) - step))
         self.a = ahocorasick.Automaton()
         for w, at in where.items():
-            self.a.add_word(w, (len(w), at))
+            by: dict[int, list[int]] = defaultdict(list)
+            for k, i in at:
+                by[k].append(i)
+            self.a.add_word(w, (len(w), by if len(by) > 4 else at))
         if len(self.a):
             self.a.make_automaton()
 
     def coverage(self, text: str, wanted: set[int]) -> dict[int, tuple[float, float]]:
-        """Of each wanted record, the share of it found in ``text`` and the share of ``text`` that it covers."""
+        """Of each wanted record, the share of it found in ``text`` and the share of ``text`` that it covers.
+
+        Records with too few passages in ``text`` to reach SHARED are left out.
+        """
         hits: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         if not len(self.a) or not text:
             return {}
         for end, (size, at) in self.a.iter(text):
+            j = end - size + 1
+            if isinstance(at, dict):
+                for k in wanted if len(wanted) < len(at) else at.keys() & wanted:
+                    if k in at:
+                        hits[k].extend((i, j, size) for i in at[k])
+                continue
             for k, i in at:
                 if k in wanted:
-                    hits[k].append((i, end - size + 1, size))
-        return {k: self._merged(v, k, len(text)) for k, v in hits.items()}
+                    hits[k].append((i, j, size))
+        # a passage adds to a run its own letters and a gap of two passages at most
+        return {k: self._merged(v, k, len(text)) for k, v in hits.items() if 3 * PASSAGE * len({h[0] for h in v}) >= SHARED * self.length[k]}
 
     def _merged(self, hits: list[tuple[int, int, int]], k: int, length: int) -> tuple[float, float]:
         """Passages that follow each other on both sides form runs; runs are merged into coverage."""
@@ -214,16 +227,33 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         who, what = fingerprints(codes, np.array([len(t) for t in texts]))
         if not len(who):
             continue
+        who, what = np.unique(np.stack((who.astype(np.uint64), what)), axis=1)  # each once in a text
+        who = who.astype(np.int64)
         n = np.bincount(who, minlength=len(texts))
-        follow = np.concatenate((what[1:], what[:1]))
-        last = np.concatenate((who[1:] != who[:-1], [True]))
-        follow = np.where(last, np.uint64(0), follow)
-        after = np.where(last, np.uint64(0), np.concatenate((follow[1:], follow[:1])))
-        follow = (follow * np.uint64(31) + after) * np.uint64(0x9FB21C651E98DF25)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(what.view(np.int64)), pa.array((follow >> np.uint64(33)).astype(np.int32)), pa.array(ids[who]), pa.array((n[who] * 2 + roles[who]).astype(np.int32))],
-            names=["h", "follow", "section_id", "meta"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(what.view(np.int64)), pa.array(ids[who]), pa.array(roles[who].astype(np.int32)), pa.array(n[who].astype(np.int32))], names=["h", "section_id", "role", "n"])
+
+
+def routes(prints: DataFrame) -> DataFrame:
+    """``t, e``: training and evaluation texts that share at least ROUTED of the fewer fingerprints, from ``h, section_id, role, n``.
+
+    Exact, however common a fingerprint is: of d + 1 shared ones the rarest stands behind d others
+    in both texts, so a text's d commonest ones need not be looked up, where the partner has no fewer.
+    The pairs so found are then counted over all their fingerprints.
+    """
+    counts = materialise(prints.groupBy("h").agg(F.count("*").alias("df")).where(f"df > {COUNTED}"), "common")
+    ranked = prints.join(broadcast_if_small(counts), "h", "left").select("section_id", "role", "n", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h").alias("p"))
+    sets = ranked.groupBy("section_id", "role", "n").agg(F.reverse(F.array_sort(F.collect_list("p")))["h"].alias("hs"))
+    sets = materialise(sets, "prints")
+    one = sets.select("section_id", "role", F.posexplode("hs").alias("rank", "h"), "n").withColumn("spare", F.ceil(ROUTED * F.col("n")) - 1)
+    sides = [one.where(f"role = {r}").select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("section_id", "n", "rank", "spare")]) for r, k in ((0, "t"), (1, "e"))]
+    t, e = sides
+    behind = "rank_{1} >= spare_{0}"
+    a = t.where("rank_t >= spare_t").join(e, (t.h == e.h) & F.expr("n_t <= n_e") & F.expr(behind.format("t", "e")))
+    b = t.join(e.where("rank_e >= spare_e"), (t.h == e.h) & F.expr("n_e < n_t") & F.expr(behind.format("e", "t")))
+    pairs = a.select("section_id_t", "section_id_e").union(b.select("section_id_t", "section_id_e")).toDF("t", "e").distinct()
+    hs = [sets.where(f"role = {r}").select(F.col("section_id").alias(k), F.col("hs").alias(f"h{k}")) for r, k in ((0, "t"), (1, "e"))]
+    both = pairs.join(hs[1], "e").join(hs[0], "t")
+    return both.where(F.size(F.array_intersect("ht", "he")) >= F.ceil(ROUTED * F.least(F.size("ht"), F.size("he")))).select("t", "e")
 
 
 def _scan(key, evals: pd.DataFrame, trains: pd.DataFrame) -> pd.DataFrame:
@@ -254,14 +284,8 @@ def overlaps(sections: DataFrame, split: DataFrame) -> DataFrame:
     copies = materialise(ids.join(first, ["sig", "role"]).where("section_id <> rep").select("section_id", "rep"), "copies")
     one = s.join(broadcast_if_small(copies.select("section_id")), "section_id", "left_anti")
 
-    prints = one.select("section_id", "role", "text").mapInArrow(_prints, "h long, follow int, section_id long, meta int")
-    common = prints.groupBy("h").count().where(f"count > {COMMON}").select("h", F.lit(True).alias("common"))
-    common = materialise(common, "common")
-    keyed = prints.join(broadcast_if_small(common), "h", "left").select(F.when(F.col("common"), F.xxhash64("h", "follow")).otherwise(F.col("h")).alias("key"), "section_id", "meta")
-    t = keyed.where("meta % 2 = 0").select("key", F.col("section_id").alias("t"), F.expr("meta div 2").alias("nt"))
-    e = keyed.where("meta % 2 = 1").select("key", F.col("section_id").alias("e"), F.expr("meta div 2").alias("ne"))
-    shared = t.join(e, "key").groupBy("t", "e").agg(F.count("*").alias("n"), F.max("nt").alias("nt"), F.max("ne").alias("ne"))
-    cand = materialise(shared.where(F.col("n") >= ROUTED * F.least("nt", "ne")).select("t", "e"), "routed")
+    prints = materialise(one.select("section_id", "role", "text").mapInArrow(_prints, "h long, section_id long, role int, n int"), "hashes")
+    cand = materialise(routes(prints), "routed")
 
     # shards of evaluation texts; a shard with many training texts is scanned by several tasks
     shards = max(1, cand.select("e").distinct().count() // SHARD)

@@ -190,6 +190,29 @@ def test_overlaps(spark):
     assert overlaps.found(s.limit(0), sp).count() == 0
 
 
+def test_overlaps_of_edited_copies_against_brute_force(spark):
+    rng = random.Random(11)
+    base = "".join(rng.choice("abdefhkmnpqrtuvwxyz") for _ in range(900))
+    rows = []
+    for i in range(24):
+        t, at = list(base), rng.randrange(30)
+        while at < len(t):
+            t[at] = rng.choice("ABDEFH")
+            at += rng.randrange(45, 80)
+        rows.append((i, f"{'tv'[i % 2]}{i}", "".join(t)))
+    flat = dict(enumerate(_folded_texts([r[2] for r in rows])))
+    shard = overlaps.Shard({i: flat[i] for i in flat if i % 2})
+    want = {(min(t, e), max(t, e)) for t in flat if not t % 2 for e, (a, b) in shard.coverage(flat[t], {i for i in flat if i % 2}).items() if min(a, b) >= overlaps.SHARED}
+    s = spark.createDataFrame(rows, "section_id long, paper_id string, content string")
+    sp = spark.createDataFrame([(i, p, "train" if p[0] == "t" else "test") for i, p, _ in rows], "_ord long, paper_id string, split string")
+    assert len(want) > 100
+    assert {(r.section_id_1, r.section_id_2) for r in overlaps.found(s, sp).collect()} == want
+
+
+def _folded_texts(texts):
+    return ["".join(map(chr, overlaps.folded([t])[0])) for t in texts]
+
+
 def test_subjects(spark):
     rng = random.Random(8)
     words = {"AGR": ["벼 재배", "과수 적과", "가축 분뇨", "농약 잔류"], "FIN": ["대출 금리", "배당 성향", "어음 만기", "여신 심사"]}
