@@ -52,7 +52,7 @@ def queries() -> dict[str, Query]:
         "p1_found": _on("papers_verified")(publications.found),
         "p1_groups": p1_groups,
         "p2_found": _on("paper_sections", "papers_verified")(scans.noise),
-        "p2_repaired": _on("paper_sections")(scans.repaired),
+        "p2_repaired": _on("paper_sections", "papers_verified")(scans.repaired),
         "p3_found": _on("papers_verified")(canonical.found),
         "p3_canonical": _on("papers_verified")(canonical.canonical_fields),
         "p4_found": _on("papers_verified", "author_registry")(authors.found),

@@ -1,11 +1,12 @@
 import datetime as dt
 import random
+import tempfile
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.llm import authors, bpe, canonical, leaks, names, overlaps, publications, scans, splits, subjects, survivors
+from quillmill.llm import authors, bpe, canonical, leaks, names, overlaps, publications, queries, scans, splits, subjects, survivors
 from quillmill.llm.components import hash_to_min
 
 PAPER = "_ord long, paper_id string, title string, authors array<string>, year int, doi string, kci_id string, institution string, metadata_confidence string, verified_at timestamp, title_2 string"
@@ -179,6 +180,21 @@ def test_reader():
     assert r.repair("업체틀 조사한\n\n<12>\n\n결과 집계되-\n어 개선되었다.") == "업체를 조사한 결과 집계되어 개선되었다."
 
 
+def test_repaired_drops_title_lines(spark, small):
+    title = TITLE.split(":")[0]
+    s = spark.createDataFrame([(1, "a", f"앞 문단의 글이 여기서\n\n{title}\n\n이어진다."), (2, "zz", f"앞 글이\n\n{title}\n\n이어진다."), (3, "a", None), (4, None, "")], "section_id long, paper_id string, content string")
+    header = {r.section_id for r in scans.noise(s, small).where("noise_kind = 'header'").collect()}
+    got = {r.section_id: r.text for r in queries.queries()["p2_repaired"](*_saved(spark, paper_sections=s, papers_verified=small)).collect()}
+    assert header == {1} and title not in got[1] and title in got[2] and got[3] is None and got[4] == ""
+
+
+def _saved(spark, **tables):
+    at = tempfile.mkdtemp()
+    for name, d in tables.items():
+        d.write.parquet(f"{at}/{name}.parquet")
+    return spark, at
+
+
 def test_overlaps(spark):
     rng = random.Random(6)
     sents = [f"제{i}차 조사에서 {rng.randrange(10**6)}개 업체의 수치 {rng.random():.6f}이 보고되었다." for i in range(40)]
