@@ -15,11 +15,17 @@ def preservation(raw: Column, cleaned: Column, sectioned: Column) -> Column:
     return F.when((kept < 0.35) | (part < 0.35), "CRITICAL").when((kept < 0.6) | (part < 0.6), "WARNING").when(raw < 3000, "SOURCE_SHORT").otherwise("OK")
 
 
-def risk_signals(pages: Column, chars: Column, korean: Column, repeated: Column) -> Column:
-    per = F.when(pages > 0, chars / pages)
+def risk_signals(pages: Column, raw: Column, cleaned: Column, korean: Column, repeated: Column) -> Column:
+    """What speaks against an extraction: ``raw`` characters extracted, ``cleaned`` ones kept, lines removed as repeated."""
+    per, raw_per = cleaned / pages, F.coalesce(raw, F.lit(0)) / pages
     many = pages >= 5
-    return reasons(("VERY_LOW_PER_PAGE", many & (per < 250)), ("LOW_PER_PAGE", many & (per >= 250) & (per < 500)), ("REPEATED", repeated >= 80), ("LITTLE_KOREAN", korean < 0.05))
+    return reasons(
+        ("VERY_LOW_TEXT", cleaned < 3000), ("VERY_LOW_PER_PAGE", many & (per < 250)), ("LOW_PER_PAGE", many & (per >= 250) & (per < 500)), ("LOW_RAW_PER_PAGE", many & (raw_per < 350)),
+        ("REPEATED", repeated >= 80), ("VERY_SHORT", (raw >= 1000) & (raw < 3000)), ("LITTLE_KOREAN", korean < 0.05),
+    )
 
 
 def risk(signals: Column) -> Column:
-    return F.when(F.array_contains(signals, "VERY_LOW_PER_PAGE"), "OCR_CANDIDATE").when(F.size(signals) >= 2, "REVIEW").when(F.size(signals) == 1, "CHECK").otherwise("OK")
+    """OCR_CANDIDATE, REVIEW, CHECK or OK by the severe signals; the others are only reported."""
+    n = F.size(F.array_intersect(signals, F.array(*map(F.lit, ("VERY_LOW_TEXT", "VERY_LOW_PER_PAGE", "LOW_RAW_PER_PAGE", "VERY_SHORT")))))
+    return F.when(F.array_contains(signals, "VERY_LOW_PER_PAGE") & (n >= 2), "OCR_CANDIDATE").when(n >= 2, "REVIEW").when(n == 1, "CHECK").otherwise("OK")

@@ -38,6 +38,17 @@ def repeated_lines(df: DataFrame, key: str, text: str, least: int = 4, longest:
     return t.groupBy(key, "line").agg(F.count("*").alias("n")).where(f"n >= {least}")
 
 
+def removed_lines(df: DataFrame, key: str, text: str, least: int = 4, longest: int = 80) -> DataFrame:
+    """Per document ``key, repeated, chars, solid, hangul``: lines that cleaning removes (short repeated ones, page numbers) and what they held."""
+    t = df.where(F.col(text).isNotNull()).select(key, F.explode(lines_of(F.col(text))).alias("raw"))
+    t = t.select(key, squeezed(F.col("raw")).alias("line"), F.length("raw").alias("size")).where(f"line <> '' and length(line) <= {longest}")
+    t = t.groupBy(key, "line").agg(F.count("*").alias("n"), F.sum(F.col("size") + 1).alias("chars"))
+    t = t.where((F.col("n") >= least) | F.col("line").rlike("^-? ?[0-9]{1,4} ?-?$"))
+    solid = F.regexp_replace("line", " ", "")
+    hangul = F.length(F.regexp_replace(solid, "[^가-힣]", ""))
+    return t.groupBy(key).agg(F.sum("n").alias("repeated"), F.sum("chars").alias("chars"), F.sum(F.col("n") * F.length(solid)).alias("solid"), F.sum(F.col("n") * hangul).alias("hangul"))
+
+
 def without_furniture(text: Column, least: int = 4, longest: int = 80) -> Column:
     """The text without page marks, lone page numbers and short repeated lines."""
     lines = lines_of(text)

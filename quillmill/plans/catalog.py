@@ -233,9 +233,12 @@ def preservation_audit(p, s):
 
 @query("papers_verified", "paper_sections")
 def extraction_risk(p, s):
-    k = s.groupBy("paper_id").agg(F.avg(text.hangul_ratio(F.coalesce("content", F.lit("")))).alias("korean"), F.lit(0).alias("repeated"))
-    j = p.select("paper_id", "page_count", "text_chars").distinct().join(k, "paper_id")
-    j = j.withColumn("signals", audit.risk_signals(c("page_count"), c("text_chars"), c("korean"), c("repeated")))
+    solid = F.regexp_replace("content", r"[ \t\n\r]", "")
+    k = s.groupBy("paper_id").agg(*[F.coalesce(F.sum(F.length(x)), F.lit(0)).alias(n) for n, x in (("all", c("content")), ("all_solid", solid), ("all_hangul", F.regexp_replace(solid, "[^가-힣]", "")))])
+    r = lines.removed_lines(s, "paper_id", "content")
+    j = p.select("paper_id", "page_count", "text_chars").distinct().join(k, "paper_id").join(r, "paper_id", "left").na.fill(0, ["repeated", "chars", "solid", "hangul"])
+    korean = text.safe_ratio(c("all_hangul") - c("hangul"), c("all_solid") - c("solid"))
+    j = j.withColumn("signals", audit.risk_signals(c("page_count"), c("text_chars"), F.greatest(c("all") - c("chars"), F.lit(0)), korean, c("repeated")))
     return j.select("paper_id", F.array_join("signals", "|").alias("signals"), audit.risk(c("signals")).alias("status"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from quillmill.functions import arrays, text
 from quillmill.functions.udfs import cut_long, nfkc, packed
 from quillmill.operators import audit, dataset, dedupe, lines, metadata
+from quillmill.plans import catalog
 from quillmill.session import broadcast_if_small, materialise
 from quillmill.sources import files, jsonl, oai
 from quillmill.streaming.ingest import compacted, ingest
@@ -92,6 +93,16 @@ def test_preservation(spark, raw, clean, part, want):
     assert spark.range(1).select(audit.preservation(F.lit(raw), F.lit(clean), F.lit(part)).alias("s")).first().s == want
 
 
+def test_extraction_risk(spark, tmp_path):
+    p = spark.createDataFrame([("a", 4, 9000), ("b", 10, 3000), ("c", 10, 1500), ("d", 4, 9000)], "paper_id string, page_count int, text_chars int")
+    body = lambda n: "가" * n
+    s = spark.createDataFrame([("a", body(4000) + "\n머리" * 50), ("a", "머리\n" * 20 + "".join(f"- {i} -\n" for i in range(20))), ("b", body(6000)), ("c", body(1000)), ("d", body(4000)), ("d", None)], "paper_id string, content string")
+    p.write.parquet(f"{tmp_path}/papers_verified.parquet")
+    s.write.parquet(f"{tmp_path}/paper_sections.parquet")
+    got = {r.paper_id: (r.signals, r.status) for r in catalog.queries()["extraction_risk"](spark, str(tmp_path)).collect()}
+    assert got == {"a": ("REPEATED", "OK"), "b": ("LOW_RAW_PER_PAGE", "CHECK"), "c": ("VERY_LOW_TEXT|VERY_LOW_PER_PAGE|LOW_RAW_PER_PAGE|VERY_SHORT", "OCR_CANDIDATE"), "d": ("", "OK")}
+
+
 def test_packing():
     rng = random.Random(3)
     for _ in range(200):
