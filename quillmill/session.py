@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests on one machine) gets a temporary one.
+    Only a session on one machine that names none gets a temporary one; a cluster must name it.
     """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if not given:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         given = tempfile.mkdtemp(prefix="quillmill-")
         spark.conf.set("spark.checkpoint.dir", given)
     return given.rstrip("/")
@@ -27,22 +29,35 @@ def materialise(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage; unlike a local checkpoint the rows survive lost executors.
+    The table goes with :func:`discard`, or when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillmill-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    jpath, fs = _hadoop(spark, path)
+    fs.deleteOnExit(jpath)
     out = spark.read.schema(df.schema).parquet(path)
     out._quillmill_path = path
     return out
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt to all tasks by ``keys``, for steps whose work is large for their bytes; adaptive execution leaves the number alone."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`materialise`."""
     path = getattr(df, "_quillmill_path", None)
     if path:
-        spark = df.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+        jpath, fs = _hadoop(df.sparkSession, path)
+        fs.delete(jpath, True)
 
 
 _shipped: set[str] = set()
@@ -72,8 +87,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def broadcast_if_small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most_rows`` (narrow) rows; else it is left to shuffle."""
+def broadcast_if_small(df: DataFrame, most_rows: int = 200_000, most_bytes: int = 8 << 20) -> DataFrame:
+    """``df`` as a table, with a broadcast hint if both its rows and its bytes on disk are few; else it is left to shuffle.
+
+    The table is written once, so that counting it costs no second run of its plan.
+    """
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+    held = df if getattr(df, "_quillmill_path", None) else materialise(df, "side")
+    jpath, fs = _hadoop(df.sparkSession, held._quillmill_path)
+    small = fs.getContentSummary(jpath).getLength() <= most_bytes and held.count() <= most_rows
+    return F.broadcast(held) if small else held
