@@ -1,10 +1,11 @@
 """Problem 1: records of one publication that differ by small edits.
 
 Order MinHash over occurrence-labelled character k-mers of the title gives sketches
-that keep the order of the sampled k-mers, so they follow edit similarity.  A sketch
-is joined with something the rest of the record must share as well (an author's
-initials, or the institution); identifiers join on their own.  Candidates are
-verified by banded alignment of the titles, by author names, years and numbering.
+that keep the order of the sampled k-mers, so they follow edit similarity.  Records
+meet where one of their sketches or an identifier agrees; records that equal each
+other are compared once, and a key that many records hold is split by the names of
+their authors.  Candidates are verified by banded alignment of the titles, by author
+names, years and numbering.
 """
 
 from __future__ import annotations
@@ -22,13 +23,17 @@ from quillmill.llm import names
 from quillmill.llm.authors import UNIT_SUFFIX
 from quillmill.llm.canonical import canonical_text
 from quillmill.llm.components import hash_to_min
-from quillmill.session import materialise, ship_package
+from quillmill.session import discard, materialise, ship_package, spread
 
-K, TAKE, SKETCHES = 3, 2, 6
+K, TAKE, SKETCHES = 3, 6, 16
+#: A key that more records hold is split by their authors' names; see ``_sides``.
+HOT = 500
 #: Share of the shorter title that edits may touch.
 MAX_EDITS = 0.15
 LEAST_LETTERS = 10
-_SEEDS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+#: Records that name nobody need equal titles of more letters than this.
+LONG = 30
+_SEEDS = np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 # What stands where a title is missing.
 PLACEHOLDER = re.compile(r"^(?:untitled|paper|document\d*|제목\s*없음|무제|no title|unknown|n/?a|null|none|-+)$|^microsoft word\b|\.(?:pdf|hwpx?|docx?|txt|pptx?)$", re.I)
 CUT = re.compile(r"(?:\.\s*){2,}$|…\s*$")
@@ -60,26 +65,63 @@ def title_parts(title: str | None) -> tuple[str, str, str]:
     return letters(s), letters(main), " ".join(re.findall(r"\d+", s))
 
 
-def order_minhash(s: str) -> list[int]:
-    """Order MinHash sketches of a string: of each hash the least labelled k-mers, in text order."""
-    n = len(s) - K + 1
-    if n < TAKE:
-        return [hash_str(s)]
-    count: dict[str, int] = {}
-    base = np.empty(n, dtype=np.uint64)
-    for i in range(n):
-        g = s[i : i + K]
-        c = count[g] = count.get(g, 0) + 1
-        base[i] = hash_str(f"{g}{c}")
-    h = base[None, :] ^ _SEEDS
-    h ^= h >> np.uint64(33)
+def order_minhash(titles: list[str]) -> np.ndarray:
+    """Order MinHash sketches, a row a string: of each hash the least TAKE labelled k-mers, in text order.
+
+    A string with fewer k-mers is sketched by all of them.
+    """
+    out = np.zeros((len(titles), SKETCHES), dtype=np.uint64)
+    order = sorted(range(len(titles)), key=lambda i: len(titles[i]))
+    at = 0
+    while at < len(order):  # strings of like length, of bounded size together
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * len(titles[order[end]]) <= 1_000_000:
+            end += 1
+        out[order[at:end]] = _sketched([titles[i] for i in order[at:end]])
+        at = end
+    return out
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ h >> np.uint64(33)
     h *= np.uint64(0xFF51AFD7ED558CCD)
     h ^= h >> np.uint64(33)
     h *= np.uint64(0xC4CEB9FE1A85EC53)
-    at = np.sort(np.argpartition(h, TAKE - 1, axis=1)[:, :TAKE], axis=1)
-    picked = base[at]
-    out = picked[:, 0] * np.uint64(31) + picked[:, 1] + _SEEDS[:, 0]
-    return [int(x) for x in out]
+    return h ^ h >> np.uint64(29)
+
+
+def _sketched(titles: list[str]) -> np.ndarray:
+    width = max(TAKE, max(map(len, titles)) - K + 1)
+    codes = np.zeros((len(titles), width + K - 1), dtype=np.uint64)
+    for i, t in enumerate(titles):
+        codes[i, : len(t)] = np.frombuffer(t.encode("utf-32-le", "replace"), dtype=np.uint32)
+    gram = np.zeros((len(titles), width), dtype=np.uint64)
+    for k in range(K):
+        gram = gram * np.uint64(0x100000001B3) + codes[:, k : k + width]
+    gram = _mixed(gram)
+    there = np.arange(width)[None, :] < np.array([len(t) - K + 1 for t in titles])[:, None]
+    # label each k-mer with the number of equal ones before it
+    by = np.argsort(gram, axis=1, kind="stable")
+    run = np.take_along_axis(gram, by, 1)
+    same = np.zeros(run.shape, dtype=bool)
+    same[:, 1:] = run[:, 1:] == run[:, :-1]
+    first = np.where(same, 0, np.arange(width)[None, :])
+    label = np.arange(width)[None, :] - np.maximum.accumulate(first, axis=1)
+    labels = np.empty_like(by)
+    np.put_along_axis(labels, by, label, 1)
+    base = np.where(there, _mixed(gram + labels.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)), np.uint64(0))
+    out = np.empty((len(titles), SKETCHES), dtype=np.uint64)
+    for j, seed in enumerate(_SEEDS):
+        h = np.where(there, (_mixed(base ^ seed) >> np.uint64(32)).astype(np.uint32), np.uint32(0xFFFFFFFF))
+        least = np.sort(np.argpartition(h, TAKE - 1, axis=1)[:, :TAKE], axis=1)
+        # strings shorter than TAKE k-mers are filled up with zeros
+        picked = np.sort(np.where(np.take_along_axis(there, least, 1), least, width), axis=1)
+        got = np.take_along_axis(np.pad(base, ((0, 0), (0, 1))), picked, 1)
+        acc = np.full(len(titles), seed)
+        for k in range(TAKE):
+            acc = (acc ^ got[:, k]) * np.uint64(31) + np.uint64(k)
+        out[:, j] = _mixed(acc)
+    return out
 
 
 @lru_cache(60_000)
@@ -89,44 +131,45 @@ def hash_str(s: str) -> int:
     return xxhash.xxh64_intdigest(s)
 
 
-@lru_cache(40_000)
-def author_keys(raw: str) -> frozenset[str]:
-    """Initials of surname and first given name, folded so that all usual spellings share one key."""
-    f = names.parse(raw)
-    out: set[str] = set()
-    for g in (f, *f.alt):
-        if g.kind == "ko":
-            given = names.initials(g.parts[1][:1]).translate(names._INI)
-            out |= {"".join(sorted(names.surname_key(r)[:1] + given)) for r in names.readings(g.parts[0], True)[:1]}
-        elif g.kind == "org":
-            t = g.text[:1]
-            out.add("O" + (names.initials(t) if "가" <= t <= "힣" else t)[:1].translate(names._INI))
-        else:
-            for last, first, _ in names.western(g):
-                first = names.NICKNAMES.get(first, first)
-                out.add("".join(sorted(names.surname_key(last)[:1] + first[:1].translate(names._INI))))
-    return frozenset(out)
-
-
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Keys of records: sketches of the title and of its main part where authors are named, else the title itself."""
+    for b in batches:
+        parts = [title_parts(t) for t in b.title]
+        named = np.array([bool(p[0]) and any(a and a.strip() for a in (w if w is not None else ())) for p, w in zip(parts, b.authors)], dtype=bool)
+        at = np.flatnonzero(named)
+        sk = order_minhash([parts[i][0] for i in at]) if len(at) else np.empty((0, SKETCHES), np.uint64)
+        second = [i for i in at if parts[i][1] != parts[i][0]]
+        sk2 = order_minhash([parts[i][1] for i in second]) if second else np.empty((0, SKETCHES), np.uint64)
+        equal = [i for i, p in enumerate(parts) if len(p[0]) > LONG]
+        rows = np.concatenate((np.repeat(at, SKETCHES), np.repeat(np.array(second, dtype=int), SKETCHES), np.array(equal, dtype=int)))
+        keys = np.concatenate((sk.ravel(), sk2.ravel(), np.array([hash_str("=" + parts[i][0]) for i in equal], dtype=np.uint64)))
+        yield pd.DataFrame({"paper_id": b.paper_id.to_numpy()[rows], "key": keys.view(np.int64)}).drop_duplicates()
+
+
+def _sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Keys split by what two records need in common to be one publication: a key of an author's name, or none named."""
     for b in batches:
         ids, keys = [], []
-        for pid, title, authors, inst in zip(b.paper_id, b.title, b.authors, b.inst):
-            whole, main, _ = title_parts(title)
-            if not whole:
-                continue
-            side = {k for a in (authors if authors is not None else ()) if a for k in author_keys(a)}
-            if inst:
-                side.add("@" + inst)
-            sketches = {("w", x) for x in order_minhash(whole)} | {("m", x) for x in order_minhash(main)}
-            mine = {hash_str(f"{v}{x}|{s}") for v, x in sketches for s in side}
-            if len(whole) >= 20:
-                mine.add(hash_str("=" + whole))
-            ids.extend([pid] * len(mine))
-            keys.extend(mine)
+        for pid, key, authors in zip(b.paper_id, b.key, b.authors):
+            who = [a for a in (authors if authors is not None else ()) if a and a.strip()]
+            side = {k for a in who for k in author_sides(a)} or {""}
+            ids.extend([pid] * len(side))
+            keys.extend(hash_str(f"{key}|{k}") for k in side)
         yield pd.DataFrame({"paper_id": ids, "key": np.array(keys, dtype=np.uint64).view(np.int64)})
 
 
+@lru_cache(20_000)
+def author_sides(raw: str) -> frozenset[str]:
+    """Keys under which every spelling that may be the same author meets this one."""
+    f = names.parse(raw)
+    out = set(names.block_keys(f))
+    if f.kind == "org":
+        t = f.text.replace(" ", "")
+        sound = "".join(names.readings(c)[0] for c in t[:2] if "가" <= c <= "힣") if "가" <= t[:1] <= "힣" else t
+        out.add("~" + names.skeleton(sound)[:3])
+    return frozenset(out)
+
+
 def prefix_edits(short: str, long: str, most: int) -> int:
     """Least edits that turn ``short`` into a prefix of ``long``; ``most + 1`` if more.
 
@@ -247,32 +290,56 @@ def same_publication(x, y, by_id: bool = False) -> bool:
         return False
     who = share_author(x[1], y[1])
     if who is None:
-        return by_id or a[0] == b[0] and len(a[0]) > 30
+        return by_id or a[0] == b[0] and len(a[0]) > LONG
     return who
 
 
 def records(papers: DataFrame) -> DataFrame:
     """One row per ``paper_id`` (the last to arrive), with usable DOI and institution."""
-    w = Window.partitionBy("paper_id").orderBy(F.col("_ord").desc_nulls_last(), F.col("verified_at").desc_nulls_last())
-    one = papers.where("paper_id is not null").select("paper_id", "_ord", "title", "authors", "year", "doi", "kci_id", "institution", "metadata_confidence", "verified_at").withColumn("r_", F.row_number().over(w)).where("r_ = 1").drop("r_")
+    cols = ["_ord", "title", "authors", "year", "doi", "kci_id", "institution", "metadata_confidence", "verified_at"]
+    last = F.max_by(F.struct(*cols), F.struct("_ord", "verified_at")).alias("r_")
+    one = papers.where("paper_id is not null").groupBy("paper_id").agg(last).select("paper_id", "r_.*")
     doi = F.nullif(F.regexp_extract(F.lower("doi"), DOI, 0), F.lit(""))
     return one.withColumn("doi", doi).withColumn("kci_id", F.expr("nullif(trim(kci_id), '')")).withColumn("inst", F.expr("nullif(trim(institution), '')")).withColumn("inst", F.regexp_replace("inst", UNIT_SUFFIX, ""))
 
 
+def candidates(r: DataFrame, hot: int = HOT) -> DataFrame:
+    """``a, b, by_id``: pairs of records that may be one publication, from ``paper_id, title, authors, year, doi, kci_id``.
+
+    Records equal in all these fields only meet the least of them.  A key that more
+    than ``hot`` records hold is split by names, so no group grows with the table.
+    """
+    same = F.xxhash64("title", "authors", "year", "doi", "kci_id")
+    r = r.withColumn("sig", same)
+    reps = r.groupBy("sig").agg(F.min("paper_id").alias("rep"))
+    held = materialise(r.join(reps, "sig"), "held")
+    copies = held.where("paper_id <> rep").select(F.col("rep").alias("a"), F.col("paper_id").alias("b"), F.coalesce("doi", "kci_id").isNotNull().alias("by_id"))
+    one = held.where("paper_id = rep").drop("sig", "rep")
+    text = spread(one.select("paper_id", "title", "authors"), "paper_id").mapInPandas(_keys, "paper_id string, key long").withColumn("by_id", F.lit(False))
+    ids = one.select("paper_id", F.explode(F.array_compact(F.array(F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi")), F.when(F.col("kci_id").isNotNull(), F.xxhash64(F.lit("k"), "kci_id"))))).alias("key"), F.lit(True).alias("by_id"))
+    keys = materialise(text.unionByName(ids).distinct(), "keys")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    meet = materialise(keys.join(shared, "key"), "meeting")
+    discard(keys)
+    much = meet.where(f"n > {hot}").join(one.select("paper_id", "authors"), "paper_id").select("paper_id", "key", "authors", "by_id")
+    split = much.where("not by_id").mapInPandas(_sides, "paper_id string, key long").withColumn("by_id", F.lit(False))
+    split = split.union(much.where("by_id").mapInPandas(_sides, "paper_id string, key long").withColumn("by_id", F.lit(True)))
+    few = meet.where(f"n <= {hot}").select("paper_id", "key", "by_id").union(split)
+    x = few.select(F.col("paper_id").alias("a"), "key", "by_id")
+    y = few.select(F.col("paper_id").alias("b"), "key")
+    pairs = x.join(y, "key").where("a < b").select("a", "b", "by_id").union(copies)
+    return pairs.groupBy("a", "b").agg(F.max("by_id").alias("by_id"))
+
+
 def links(papers: DataFrame) -> DataFrame:
     """Verified pairs ``a < b`` of paper ids that directly hold the same publication."""
     ship_package(papers.sparkSession)
     r = materialise(records(papers), "records")
-    keys = r.select("paper_id", "title", "authors", "inst").mapInPandas(_keys, "paper_id string, key long")
-    x, y = keys.withColumnRenamed("paper_id", "a"), keys.withColumnRenamed("paper_id", "b")
-    by_text = x.join(y, "key").where("a < b").select("a", "b").distinct().withColumn("by_id", F.lit(False))
-    ids = r.select("paper_id", F.concat(F.lit("d"), "doi").alias("key")).union(r.select("paper_id", F.concat(F.lit("k"), "kci_id"))).where("key is not null")
-    by_id = ids.withColumnRenamed("paper_id", "a").join(ids.withColumnRenamed("paper_id", "b"), "key").where("a < b").select("a", "b").distinct().withColumn("by_id", F.lit(True))
-    pairs = by_text.union(by_id).groupBy("a", "b").agg(F.max("by_id").alias("by_id"))
     side = ["title", "authors", "year", "doi"]
+    pairs = candidates(r.select("paper_id", *side, "kci_id"))
     one = r.select(F.col("paper_id").alias("a"), *[F.col(c).alias(f"{c}_1") for c in side])
     two = r.select(F.col("paper_id").alias("b"), *[F.col(c).alias(f"{c}_2") for c in side])
-    return pairs.join(one, "a").join(two, "b").mapInPandas(_verified, "a string, b string")
+    return spread(pairs.join(one, "a").join(two, "b"), "a", "b").mapInPandas(_verified, "a string, b string")
 
 
 def groups(papers: DataFrame) -> DataFrame:
