@@ -254,7 +254,9 @@ def western(form: Form) -> list[tuple[str, str, str]]:
 
     if not comma:
         add(p[-1], p[:-1])
-    add(p[0], p[1:])
+    # without a comma the surname is not first where an initial stands before a full word
+    if comma or not any(x.startswith("=") and not y.startswith("=") for x, y in zip(p[1:], p[2:])):
+        add(p[0], p[1:])
     return out
 
 
