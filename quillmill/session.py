@@ -52,6 +52,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
 
 
+def occupied(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` itself if it has a partition for every task slot, as large tables do; a table of fewer files is dealt anew."""
+    few = df._jdf.queryExecution().toRdd().getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    return spread(df, *keys) if few else df
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`materialise`."""
     path = getattr(df, "_quillmill_path", None)
