@@ -2,9 +2,10 @@
 
 Section texts are normalised to letters and figures with the scanner's confusions
 folded.  Winnowed fingerprints route every evaluation text to the training texts with
-which it shares a longer run; evaluation texts are then dealt into shards, each shard
-builds an Aho-Corasick automaton over the passages of its texts and scans the training
-texts routed to it, and the matched intervals are merged into coverage per record.
+which it shares a fair part of them; evaluation texts are then dealt into shards, each
+shard builds an Aho-Corasick automaton over the passages of its texts and scans the
+training texts routed to it, and the matched intervals are merged into coverage per
+record.
 """
 
 from __future__ import annotations
@@ -22,18 +23,22 @@ from pyspark.sql import types as T
 from quillmill.llm.canonical import canonical_text
 from quillmill.llm.scans import VISUAL
 from quillmill.llm.splits import current
-from quillmill.session import broadcast_if_small, materialise, ship_package
+from quillmill.session import broadcast_if_small, discard, materialise, occupied, ship_package, spread
 
 #: Letters in a fingerprint, and window from which the least one is taken.
-GRAM, WINDOW = 24, 28
-#: Fingerprints in more texts are counted, to put a text's commonest ones first; this changes the cost, not the result.
-COUNTED = 4
+GRAM, WINDOW = 12, 28
+#: Bits of a fingerprint that choose its place in the histogram of how common it is; this and HOT change the cost, not the result.
+PLACES = 20
+#: A fingerprint in more texts than this is met in several tasks.
+HOT = 20_000
+#: Words of 64 bits in the bitmap of a text's fingerprints.
+BITMAP = 5
 #: Letters in a passage of the automaton, and least run of them that counts.
 PASSAGE, RUN = 8, 24
-#: Share of the fingerprints that a candidate must have in common, and of both texts that must be covered.
-ROUTED, SHARED = 0.12, 0.62
-#: Evaluation texts in a shard, and training texts scanned by one task.
-SHARD, SCANNED = 2000, 20000
+#: Share of the greater number of fingerprints that two texts must have in common, and of both texts that must be covered.
+ROUTED, SHARED = 0.32, 0.62
+#: Fingerprints of evaluation texts in a shard, and of training texts scanned by one task.
+SHARD, SCANNED = 8_000, 150_000
 
 
 def _fold_table() -> np.ndarray:
@@ -219,41 +224,75 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b[b.text != ""][["section_id", "role", "sig", "text"]]
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _of_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, fingerprint) of each text's distinct fingerprints, and their number in each text."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+    who, what = fingerprints(codes, np.array([len(t) for t in texts], dtype=np.int64))
+    both = np.unique(np.stack((who.astype(np.uint64), what)), axis=1)
+    who = both[0].astype(np.int64)
+    return who, both[1], np.bincount(who, minlength=len(texts))
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << PLACES, dtype=np.int64)
     for b in batches:
-        ids, roles = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
-        texts = b.column(2).to_pylist()
-        codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
-        who, what = fingerprints(codes, np.array([len(t) for t in texts]))
-        if not len(who):
-            continue
-        who, what = np.unique(np.stack((who.astype(np.uint64), what)), axis=1)  # each once in a text
-        who = who.astype(np.int64)
-        n = np.bincount(who, minlength=len(texts))
-        yield pa.RecordBatch.from_arrays([pa.array(what.view(np.int64)), pa.array(ids[who]), pa.array(roles[who].astype(np.int32)), pa.array(n[who].astype(np.int32))], names=["h", "section_id", "role", "n"])
-
-
-def routes(prints: DataFrame) -> DataFrame:
-    """``t, e``: training and evaluation texts that share at least ROUTED of the fewer fingerprints, from ``h, section_id, role, n``.
-
-    Exact, however common a fingerprint is: of d + 1 shared ones the rarest stands behind d others
-    in both texts, so a text's d commonest ones need not be looked up, where the partner has no fewer.
-    The pairs so found are then counted over all their fingerprints.
+        for at in range(0, b.num_rows, 500):
+            _, what, _ = _of_texts(b.column(0).slice(at, 500).to_pylist())
+            np.add.at(total, (what >> np.uint64(64 - PLACES)).astype(np.int64), 1)
+    there = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(total[there])], names=["place", "n"])
+
+
+_ROUTE = "h long, section_id long, role int, n int, tasks int, " + ", ".join(f"b{i} long" for i in range(BITMAP))
+
+
+def _prefixes(held):
+    """Rows of each text's rarest fingerprints: all but so many that a partner, sharing ROUTED of them, can't share only the rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = np.frombuffer(held.value, dtype=np.int64)
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                texts = part.column(2).to_pylist()
+                who, what, n = _of_texts(texts)
+                ids, roles = part.column(0).to_numpy(), part.column(1).to_numpy()
+                bits = np.zeros((len(texts), 64 * BITMAP), dtype=bool)
+                bits[who, (what * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(64 * BITMAP)] = True
+                words = np.packbits(bits, axis=1).view(np.int64)
+                often = common[(what >> np.uint64(64 - PLACES)).astype(np.int64)]
+                order = np.lexsort((what, often, who))
+                starts = np.concatenate(([0], np.cumsum(n)))
+                rank = np.arange(len(who)) - starts[who[order]]
+                took = order[rank <= n[who[order]] - np.ceil(ROUTED * n[who[order]])]
+                w = who[took]
+                cols = [what[took].view(np.int64), ids[w], roles[w].astype(np.int32), n[w].astype(np.int32), (1 + often[took] // HOT).astype(np.int32), *(words[w, i] for i in range(BITMAP))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "section_id", "role", "n", "tasks", *(f"b{i}" for i in range(BITMAP))])
+
+    return run
+
+
+def routes(texts: DataFrame) -> DataFrame:
+    """``t, e, t_n, e_n``: training and evaluation texts that may share ROUTED of the greater number of fingerprints, from ``section_id, role, text``.
+
+    Complete, however common a fingerprint is: each text is looked up by its rarest
+    fingerprints only, as many as leave too few others.  Of the pairs that meet, those
+    are left out whose bitmaps prove that they share too little.  The order of rarity
+    comes from a histogram of fixed size.
     """
-    counts = materialise(prints.groupBy("h").agg(F.count("*").alias("df")).where(f"df > {COUNTED}"), "common")
-    ranked = prints.join(broadcast_if_small(counts), "h", "left").select("section_id", "role", "n", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h").alias("p"))
-    sets = ranked.groupBy("section_id", "role", "n").agg(F.reverse(F.array_sort(F.collect_list("p")))["h"].alias("hs"))
-    sets = materialise(sets, "prints")
-    one = sets.select("section_id", "role", F.posexplode("hs").alias("rank", "h"), "n").withColumn("spare", F.ceil(ROUTED * F.col("n")) - 1)
-    sides = [one.where(f"role = {r}").select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("section_id", "n", "rank", "spare")]) for r, k in ((0, "t"), (1, "e"))]
-    t, e = sides
-    behind = "rank_{1} >= spare_{0}"
-    a = t.where("rank_t >= spare_t").join(e, (t.h == e.h) & F.expr("n_t <= n_e") & F.expr(behind.format("t", "e")))
-    b = t.join(e.where("rank_e >= spare_e"), (t.h == e.h) & F.expr("n_e < n_t") & F.expr(behind.format("e", "t")))
-    pairs = a.select("section_id_t", "section_id_e").union(b.select("section_id_t", "section_id_e")).toDF("t", "e").distinct()
-    hs = [sets.where(f"role = {r}").select(F.col("section_id").alias(k), F.col("hs").alias(f"h{k}")) for r, k in ((0, "t"), (1, "e"))]
-    both = pairs.join(hs[1], "e").join(hs[0], "t")
-    return both.where(F.size(F.array_intersect("ht", "he")) >= F.ceil(ROUTED * F.least(F.size("ht"), F.size("he")))).select("t", "e")
+    spark = texts.sparkSession
+    counted = texts.select("text").mapInArrow(_places, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    common = np.zeros(1 << PLACES, dtype=np.int64)
+    got = counted.toArrow()  # at most 2 ** PLACES rows
+    common[got.column("place").to_numpy()] = got.column("n").to_numpy()
+    rows = texts.select("section_id", "role", "text").mapInArrow(_prefixes(spark.sparkContext.broadcast(common.tobytes())), _ROUTE)
+    t = rows.where("role = 0").withColumn("task", F.pmod(F.xxhash64("section_id"), F.col("tasks")))
+    e = rows.where("role = 1").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+    sides = [d.select("h", F.col("task").cast("int").alias("task"), *[F.col(c).alias(f"{k}_{c}") for c in ("section_id", "n", *(f"b{i}" for i in range(BITMAP)))]) for d, k in ((t, "t"), (e, "e"))]
+    apart = sum((F.bit_count(F.col(f"t_b{i}").bitwiseXOR(F.col(f"e_b{i}"))) for i in range(BITMAP)), F.lit(0))
+    most = (F.col("t_n") + F.col("e_n") - apart) / 2
+    pairs = sides[0].join(sides[1], ["h", "task"]).where(most >= F.ceil(ROUTED * F.greatest("t_n", "e_n")))
+    return pairs.select(F.col("t_section_id").alias("t"), F.col("e_section_id").alias("e"), "t_n", "e_n").distinct()
 
 
 def _scan(key, evals: pd.DataFrame, trains: pd.DataFrame) -> pd.DataFrame:
@@ -276,28 +315,27 @@ def overlaps(sections: DataFrame, split: DataFrame) -> DataFrame:
     spark = sections.sparkSession
     ship_package(spark)
     roles = current(split).where("split is not null").select("paper_id", (F.col("split") != "train").cast("int").alias("role"))
-    text = sections.where("content is not null and content <> ''").select("section_id", "paper_id", "content")
+    text = occupied(sections.where("content is not null and content <> ''").select("section_id", "paper_id", "content"), "section_id")
     text = text.join(broadcast_if_small(roles), "paper_id").select("section_id", "role", "content")
     s = materialise(text.mapInPandas(_texts, "section_id long, role int, sig long, text string"), "texts")
     ids = s.select("section_id", "role", "sig")
-    first = ids.groupBy("sig", "role").agg(F.min("section_id").alias("rep"))
+    first = materialise(ids.groupBy("sig", "role").agg(F.min("section_id").alias("rep")), "first")
     copies = materialise(ids.join(first, ["sig", "role"]).where("section_id <> rep").select("section_id", "rep"), "copies")
-    one = s.join(broadcast_if_small(copies.select("section_id")), "section_id", "left_anti")
-
-    prints = materialise(one.select("section_id", "role", "text").mapInArrow(_prints, "h long, section_id long, role int, n int"), "hashes")
-    cand = materialise(routes(prints), "routed")
+    one = s.join(copies.select("section_id"), "section_id", "left_anti").select("section_id", "role", "text")
+    cand = materialise(routes(one), "routed")
 
     # shards of evaluation texts; a shard with many training texts is scanned by several tasks
-    shards = max(1, cand.select("e").distinct().count() // SHARD)
-    routed = cand.withColumn("shard", F.pmod(F.xxhash64("e"), F.lit(shards)))
-    scans = routed.groupBy("shard", "t").agg(F.collect_list("e").alias("wanted"))
-    parts = scans.groupBy("shard").agg(F.ceil(F.count("*") / SCANNED).cast("int").alias("parts"))
+    total = cand.groupBy("e").agg(F.first("e_n").alias("n")).agg(F.sum("n")).first()[0] or 0
+    routed = cand.withColumn("shard", F.pmod(F.xxhash64("e"), F.lit(1 + total // SHARD)))
+    scans = materialise(routed.groupBy("shard", "t").agg(F.collect_list("e").alias("wanted"), F.first("t_n").alias("size")), "scans")  # a list is no longer than its shard
+    parts = materialise(scans.groupBy("shard").agg(F.ceil(F.sum("size") / SCANNED).cast("int").alias("parts")), "parts")
     wanted = cand.select(F.col("t").alias("section_id")).union(cand.select("e")).distinct()
-    texts = materialise(s.select("section_id", "text").join(broadcast_if_small(wanted), "section_id", "left_semi"), "wanted")
-    trains = scans.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("t"), F.col("parts"))).join(texts.select(F.col("section_id").alias("t"), F.col("text").alias("t_text")), "t").select(F.col("shard").alias("t_shard"), F.col("part").cast("long").alias("t_part"), "t", "t_text", "wanted")
-    evals = routed.select("shard", "e").distinct().join(F.broadcast(parts), "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(texts.select(F.col("section_id").alias("e"), F.col("text").alias("e_text")), "e").select(F.col("shard").alias("e_shard"), F.col("part").cast("long").alias("e_part"), "e", "e_text")
-    got = evals.groupBy("e_shard", "e_part").cogroup(trains.groupBy("t_shard", "t_part")).applyInPandas(_scan, "t long, e long, covered double, covers double")
-    good = got.where(F.least("covered", "covers") >= SHARED)
+    texts = materialise(s.select("section_id", "text").join(wanted, "section_id", "left_semi"), "wanted")
+    discard(s)
+    trains = scans.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("t"), F.col("parts"))).join(texts.select(F.col("section_id").alias("t"), F.col("text").alias("t_text")), "t").select(F.col("shard").alias("t_shard"), F.col("part").cast("long").alias("t_part"), "t", "t_text", "wanted")
+    evals = routed.select("shard", "e").distinct().join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(texts.select(F.col("section_id").alias("e"), F.col("text").alias("e_text")), "e").select(F.col("shard").alias("e_shard"), F.col("part").cast("long").alias("e_part"), "e", "e_text")
+    got = spread(evals, "e_shard", "e_part").groupBy("e_shard", "e_part").cogroup(spread(trains, "t_shard", "t_part").groupBy("t_shard", "t_part")).applyInPandas(_scan, "t long, e long, covered double, covers double")
+    good = materialise(got.where(F.least("covered", "covers") >= SHARED), "covered")
 
     more = copies.union(first.select(F.col("rep").alias("section_id"), "rep"))
     good = good.join(more.select(F.col("rep").alias("t"), F.col("section_id").alias("train_id")), "t")
