@@ -32,11 +32,11 @@ PLACES = 20
 #: A fingerprint in more texts than this is met in several tasks.
 HOT = 20_000
 #: Words of 64 bits in the bitmap of a text's fingerprints.
-BITMAP = 5
+BITMAP = 7
 #: Letters in a passage of the automaton, and least run of them that counts.
 PASSAGE, RUN = 8, 24
 #: Share of the greater number of fingerprints that two texts must have in common, and of both texts that must be covered.
-ROUTED, SHARED = 0.32, 0.62
+ROUTED, SHARED = 0.35, 0.62
 #: Fingerprints of evaluation texts in a shard, and of training texts scanned by one task.
 SHARD, SCANNED = 8_000, 150_000
 
