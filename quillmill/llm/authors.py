@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.llm import names
-from quillmill.session import materialise, ship_package
+from quillmill.llm.components import hash_to_min
+from quillmill.session import discard, materialise, ship_package, spread
 
 #: Chance that a further person of the institution has a name this near; see ``_attach``.
 NOVEL = 0.0075
@@ -123,12 +124,18 @@ def _scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b[b.lik > 0][["vid", "cid", "lik", "v_n", "c_n", "c_reg", "same", "located"]]
 
 
+def _log_factorial(n):
+    """ln n! by Stirling's series, which is right to 1e-4 from n = 1 on; 0 for n = 0."""
+    n = n.cast("double")
+    return F.when(n < 1, 0.0).otherwise(n * F.log(n) - n + 0.5 * F.log(2 * math.pi * n) + 1 / (12 * n) - 1 / (360 * n * n * n))
+
+
 def _attach(lik, v_n, c_n, c_reg, same, located):
     """Log posterior (up to a constant) of ``v`` being a spelling of ``c``."""
     prior = F.log(c_n + F.when(c_reg, 1.0).otherwise(0.25))
     typo_rate = lik * (c_n + F.when(c_reg, 1.0).otherwise(0.0))
     n = F.ceil(v_n / 2.0)
-    poisson = n * F.log(typo_rate) - typo_rate - F.log(F.factorial(F.least(n, F.lit(20)).cast("int")).cast("double"))
+    poisson = n * F.log(typo_rate) - typo_rate - _log_factorial(n)
     novel = F.log(F.lit(NOVEL) / (n + 1))
     allowed = same | (lik >= SYSTEMATIC) | (poisson > novel)
     return F.when(allowed, F.log(lik) + prior)
@@ -146,10 +153,10 @@ def resolve(papers: DataFrame, registry: DataFrame) -> DataFrame:
     ship_package(spark)
     e = materialise(_located(entries(papers), registry), "entries")
     spell = e.groupBy("raw", "inst").agg(F.count("*").alias("n"))
-    spell = spell.mapInPandas(_formed, "raw string, inst string, n long, kind string, text string").where("kind <> ''")
+    spell = spread(spell, "raw").mapInPandas(_formed, "raw string, inst string, n long, kind string, text string").where("kind <> ''")
     spell = materialise(spell, "spellings")
     var = spell.groupBy("text", "kind", F.when(F.col("kind") != "org", F.col("inst")).alias("inst")).agg(F.sum("n").alias("n"))
-    var = var.withColumn("vid", F.xxhash64("text", "kind", F.coalesce("inst", F.lit(""))))
+    var = materialise(var.withColumn("vid", F.xxhash64("text", "kind", F.coalesce("inst", F.lit("")))), "variants")
 
     reg = registry.where("name is not null and author_id is not null").select("author_id", "name", "name_en", F.col("institution").alias("inst")).dropDuplicates(["author_id"])
     reg = reg.withColumn("raw", F.col("name")).withColumn("n", F.lit(0).cast("long"))
@@ -166,10 +173,11 @@ def resolve(papers: DataFrame, registry: DataFrame) -> DataFrame:
     own = own.withColumn("text", bare).groupBy("text", "kind").agg(F.sum("n").alias("n"), F.max_by("inst", F.struct(F.col("inst").isNotNull(), "n", "inst")).alias("inst"))
     own = own.join(registered_texts.select("text").distinct(), "text", "left_anti")
     own = own.select(F.concat(F.lit("~"), "text").alias("cid"), "text", F.lit(None).cast("string").alias("text2"), "kind", "inst", "n", F.lit(False).alias("reg"))
+    own = materialise(own, "own")
     cand = materialise(known.unionByName(own), "names")
 
-    vkeys = var.select("vid", "text", "kind", "inst").mapInPandas(_variant_keys, "vid long, key string")
-    ckeys = cand.select("cid", "text", "text2", "kind", "inst").mapInPandas(_name_keys, "cid string, key string").distinct()
+    vkeys = spread(var.select("vid", "text", "kind", "inst"), "vid").mapInPandas(_variant_keys, "vid long, key string")
+    ckeys = spread(cand.select("cid", "text", "text2", "kind", "inst"), "cid").mapInPandas(_name_keys, "cid string, key string").distinct()
     pairs = vkeys.join(ckeys, "key").select("vid", "cid").distinct()
     v = var.select("vid", F.col("text").alias("v_text"), F.col("kind").alias("v_kind"), F.col("inst").alias("v_inst"), F.col("n").alias("v_n"))
     c = cand.select("cid", F.col("text").alias("c_text"), F.col("text2").alias("c_text2"), F.col("kind").alias("c_kind"), F.col("inst").alias("c_inst"), F.col("n").alias("c_n"), F.col("reg").alias("c_reg"))
@@ -178,7 +186,7 @@ def resolve(papers: DataFrame, registry: DataFrame) -> DataFrame:
         (F.substring_index("v_text", "(", 1) == F.col("c_text")).alias("same"),
         F.coalesce(F.col("v_inst") == F.col("c_inst"), F.lit(False)).alias("located"),
     )
-    scored = full.mapInPandas(_scored, "vid long, cid string, lik double, v_n long, c_n long, c_reg boolean, same boolean, located boolean")
+    scored = spread(full, "vid", "cid").mapInPandas(_scored, "vid long, cid string, lik double, v_n long, c_n long, c_reg boolean, same boolean, located boolean")
     scored = scored.withColumn("score", _attach(F.col("lik"), F.col("v_n"), F.col("c_n"), F.col("c_reg"), F.col("same"), F.col("located"))).where("score is not null")
     # an exact registered form is final; an own form yields to an admissible better one
     better = F.when(F.col("same") & ~F.col("c_reg"), F.lit(0)).otherwise(F.lit(1))
@@ -187,11 +195,12 @@ def resolve(papers: DataFrame, registry: DataFrame) -> DataFrame:
     clear = (F.col("lik") >= 1) | F.col("next").isNull() | (F.col("next_better") == 0) | (F.col("score") - F.col("next") > math.log(1.5))
     best = materialise(ranked.where("r = 1").where(clear).select("vid", "cid"), "attached")
 
-    # an own form that was attached elsewhere passes its spellings on
+    # an own form that was attached elsewhere passes its spellings on, over any number of steps
     texts = own.select("cid", F.col("text"), "kind", "inst")
     hop = texts.withColumn("vid", F.xxhash64("text", "kind", F.coalesce("inst", F.lit("")))).join(best.withColumnRenamed("cid", "cid2"), "vid").where("cid2 <> cid").select("cid", "cid2")
-    once = best.join(hop, "cid", "left").select("vid", F.coalesce("cid2", "cid").alias("cid"))
-    twice = once.join(hop, "cid", "left").select("vid", F.coalesce("cid2", "cid").alias("cid"))
+    hop = materialise(hop, "hops")
+    last = _ends(hop)
+    twice = best.join(last, "cid", "left").select("vid", F.coalesce("end", "cid").alias("cid"))
     ids = var.join(twice, "vid", "left").select("text", "kind", "inst", F.coalesce("cid", F.concat(F.lit("~"), "text", F.lit("@"), F.coalesce("inst", F.lit("")))).alias("entity"))
     ids = ids.withColumnRenamed("text", "i_text").withColumnRenamed("kind", "i_kind").withColumnRenamed("inst", "i_inst")
     s = spell.withColumn("vi", F.when(F.col("kind") != "org", F.col("inst")))
@@ -201,6 +210,13 @@ def resolve(papers: DataFrame, registry: DataFrame) -> DataFrame:
     return out.select("paper_id", "author_no", "raw", "inst", "entity", F.when(~F.col("entity").startswith("~"), F.col("entity")).alias("author_id"))
 
 
+def _ends(hop: DataFrame) -> DataFrame:
+    """``cid, end``: where each chain of steps ``cid, cid2`` (one a name) ends; a ring ends at its least name."""
+    parts = materialise(hash_to_min(hop, "cid", "cid2"), "chains")
+    root = parts.join(hop.select(F.col("cid").alias("node")), "node", "left_anti").select("component", F.col("node").alias("root"))
+    return parts.join(root, "component", "left").select(F.col("node").alias("cid"), F.coalesce("root", "component").alias("end"))
+
+
 def found(papers: DataFrame, registry: DataFrame) -> DataFrame:
     """Entries that refer to a registered author by another string than the registered ones."""
     got = resolve(papers, registry).where("author_id is not null")
