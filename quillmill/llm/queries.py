@@ -61,6 +61,7 @@ def queries() -> dict[str, Query]:
         "p5_report": _on("paper_sections", "paper_split")(overlaps.report),
         "p6_found": _on("papers_verified")(survivors.found),
         "p6_survivors": _on("papers_verified")(survivors.survivors),
+        "p6_consensus": _on("papers_verified")(survivors.nearest),
         "p7_found": _on("papers_verified", "paper_split", "author_registry")(splits.found),
         "p7_assignment": p7_assignment,
         "p7_ledger": p7_ledger,
@@ -80,9 +81,9 @@ SQL = {
             SELECT paper_id, split, row_number() OVER (PARTITION BY paper_id ORDER BY _ord DESC) AS r
             FROM paper_split WHERE paper_id IS NOT NULL) t WHERE r = 1)
         SELECT paper_id, CASE
-            WHEN lower(trim(split)) IN ('train', 'training', 'trn', 'trin', 'trning') THEN 'train'
-            WHEN lower(trim(split)) IN ('val', 'valid', 'validation', 'dev') THEN 'validation'
-            WHEN lower(trim(split)) IN ('test', 'testing', 'eval', 'evaluation') THEN 'test' END AS split
+            WHEN regexp_matches(lower(trim(split)), '^tr(ai?n(ing)?)?$') THEN 'train'
+            WHEN regexp_matches(lower(trim(split)), '^(val(id(ation)?)?|dev)$') THEN 'validation'
+            WHEN regexp_matches(lower(trim(split)), '^test(ing)?$|^eval(uation)?$') THEN 'test' END AS split
         FROM last""",
 }
 
