@@ -49,7 +49,7 @@ def _rules() -> dict[str, tuple[str, int]]:
         out[src] = (dst, kind)
 
     for cp in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= cp < 0xE000 or 0x20000 <= cp < 0xE0000:
+        if 0xD800 <= cp < 0xE000 or 0x20000 <= cp < 0x2F800 or 0x2FA20 <= cp < 0xE0000:  # surrogates; planes of ideographs without a mapping
             continue
         c = chr(cp)
         cat = unicodedata.category(c)

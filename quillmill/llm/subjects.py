@@ -24,8 +24,8 @@ from quillmill.session import broadcast_if_small, materialise, ship_package
 
 #: The lexicon is fitted on at most so many labelled rows (the smallest document ids).
 LABELLED = 50_000
-#: Documents in which a term must occur, its least purity and strength, and terms kept per area.
-LEAST_DOCS, PURITY, STRENGTH, PER_AREA = 3, 0.3, 3.0, 1500
+#: Documents in which a term must occur, its least purity and strength. All terms that pass are kept: the labelled rows bound them.
+LEAST_DOCS, PURITY, STRENGTH = 3, 0.3, 3.0
 MOST_AREAS = 2
 FUNCTIONS = ("phrases", "words", "density", "spread", "heading", "address", "source")
 # Korean particles and English function words that carry no subject.
@@ -101,8 +101,7 @@ def lexicon(docs: DataFrame, labels: DataFrame, areas: DataFrame) -> dict[str, t
         z = z.withColumn("z", (F.col("n") - F.col("docs") * F.col("p")) / F.sqrt(F.col("docs") * F.col("p") * (1 - F.least("p", F.lit(0.99)))))
         z = z.where((F.col("z") > STRENGTH) & (F.col("n") / F.col("docs") > PURITY))
         best = Window.partitionBy("term").orderBy(F.desc("z"), "area")
-        rank = Window.partitionBy("area").orderBy(F.desc("z"), "term")
-        z = z.withColumn("r", F.row_number().over(best)).where("r = 1").withColumn("k", F.row_number().over(rank)).where(f"k <= {PER_AREA}")
+        z = z.withColumn("r", F.row_number().over(best)).where("r = 1")
         out = {r.term: (r.area, float(r.z)) for r in z.select("term", "area", "z").collect()}
     # the areas' own words, where no label says otherwise
     stems = Stems()
@@ -210,7 +209,7 @@ def scored(docs: DataFrame, labels: DataFrame, areas: DataFrame) -> DataFrame:
     """``doc_id, subject_code, posterior, hits, sents`` for every document and area with any evidence."""
     ship_package(docs.sparkSession)
     lex = lexicon(docs, labels, areas)
-    held = docs.sparkSession.sparkContext.broadcast(lex)  # at most PER_AREA terms an area
+    held = docs.sparkSession.sparkContext.broadcast(lex)  # terms of at most LABELLED documents
     schema = T.StructType([docs.schema["doc_id"], T.StructField("source", T.StringType()), T.StructField("area", T.StringType()), T.StructField("hits", T.IntegerType()), T.StructField("sents", T.IntegerType()), *[T.StructField(f, T.IntegerType()) for f in FUNCTIONS[:6]]])
     text = docs.where("text is not null and trim(text) <> ''").select("doc_id", "text", "source")
 
@@ -235,12 +234,12 @@ def scored(docs: DataFrame, labels: DataFrame, areas: DataFrame) -> DataFrame:
 
 
 def assigned(docs: DataFrame, labels: DataFrame, areas: DataFrame) -> DataFrame:
-    """At most two areas a document, from the posterior; ties go to the area with more sentences, then by code.
+    """At most two areas a document, those of the highest posterior; ties go to the area with more sentences, then by code.
 
     NULL, empty and blank texts and documents on no area in particular have no row.
     """
     s = scored(docs, labels, areas).where("posterior >= 0.5")
-    w = Window.partitionBy("doc_id").orderBy(F.desc("hits"), F.desc("posterior"), "subject_code")
+    w = Window.partitionBy("doc_id").orderBy(F.desc("posterior"), F.desc("hits"), "subject_code")
     return s.withColumn("r", F.row_number().over(w)).where(f"r <= {MOST_AREAS}").drop("r")
 
 
