@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillmill.functions.text import stripped
+
 
 def distinct_ci(c: Column) -> Column:
     """Drops blanks and, without regard to case, repetitions; the first spelling stays."""
@@ -30,4 +32,4 @@ def reasons(*pairs: tuple[str, Column]) -> Column:
 
 def split_people(c: Column) -> Column:
     """Names from one text with separators, without repetitions."""
-    return F.array_distinct(F.filter(F.transform(F.split(c, r"[,;|·]"), lambda x: F.trim(x)), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(c, r"[,;|·]"), stripped), lambda x: x != ""))

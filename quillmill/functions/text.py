@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[ \t\n\r\x0b\f\u0085\u00a0\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACE = r"[ \t\n\r\x0b\f\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Ends of lines, as text is cut into lines.
+NEWLINE = r"\r\n|[\n\r\x0b\f\x1c-\x1e\u0085\u2028\u2029]"
+PAGE_MARK = r"={3,}\s*PAGE\s+[0-9]+\s*={3,}"
+# How the stages find a DOI in text, and what they cut from its end.
+DOI_FORMS = {
+    "harvest": (r"10\.[0-9]{4,9}/[^\s<>\"]+", ".,;)"),
+    "identify": (r"10\.[0-9]{4,9}/[-._;()/:A-Za-z0-9]+", ".,;:)]}>"),
+    "resolve": (r"\b10\.[0-9]{4,9}/[-._;()/:A-Za-z0-9]*[A-Za-z0-9_]", ".,;)"),
+    "resolver_link": (r"(?<=doi\.org/)10\.[^\s]+", ".,;)"),
+}
 
 
 def squeeze(c: Column) -> Column:
@@ -13,6 +23,66 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
 
 
+def stripped(c: Column) -> Column:
+    """White space of any kind cut from both ends."""
+    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+
+
+def inline_squeeze(c: Column) -> Column:
+    """NULs dropped, runs of blanks and tabs become one blank, none at the ends; line ends stay."""
+    return stripped(F.regexp_replace(F.regexp_replace(c, "\u0000", ""), "[ \t]+", " "))
+
+
+def light_clean(c: Column) -> Column:
+    """Extracted text: NULs and blanks at line ends dropped, at most two blank lines in a row."""
+    t = F.regexp_replace(F.regexp_replace(c, "\u0000", ""), NEWLINE, "\n")
+    t = F.regexp_replace(t, r"[ \t]+(?=\n)|[ \t]+$", "")
+    return stripped(F.regexp_replace(t, r"\n{4,}", "\n\n\n"))
+
+
+def for_count(c: Column) -> Column:
+    """Text as its length is compared: without page marks, white space squeezed; NULL gives the empty text."""
+    return F.coalesce(squeeze(F.regexp_replace(c, f"(?i){PAGE_MARK}", " ")), F.lit(""))
+
+
+def unix_lines(c: Column) -> Column:
+    """Line ends as line feeds, none at the ends."""
+    return stripped(F.regexp_replace(c, r"\r\n?", "\n"))
+
+
+def doi_by(c: Column, form: str) -> Column:
+    """The first DOI of a text in one of the DOI_FORMS; NULL for none."""
+    pattern, tail = DOI_FORMS[form]
+    found = F.regexp_extract(c, pattern, 0)
+    return F.nullif(F.regexp_replace(found, "[" + "".join("\\" + x for x in tail) + "]+$", ""), F.lit(""))
+
+
+def kci_ids(c: Column) -> Column:
+    """Sorted distinct article ids in a text, in upper case."""
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"(?i)(?<![\p{L}\p{N}_])ART[0-9]{6,}(?![\p{L}\p{N}_])"), 0), lambda x: F.upper(x))))
+
+
+def article_of_url(c: Column) -> Column:
+    return F.nullif(F.regexp_extract(c, "artiId=(ART[0-9]+)", 1), F.lit(""))
+
+
+def years(c: Column, low: int = 1980, high: int = 2030) -> Column:
+    """All four-figure years of a text that stand alone and lie in the range, in order."""
+    found = F.transform(F.regexp_extract_all(c, F.lit(r"(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])"), 1), lambda y: y.cast("int"))
+    return F.filter(found, lambda y: y.between(low, high))
+
+
+def commonest(c: Column) -> Column:
+    """The commonest element of an array, of equally common ones the first; NULL for an empty one."""
+    kinds = F.array_distinct(c)
+    counted = F.transform(kinds, lambda x, i: F.struct(F.size(F.filter(c, lambda y: y == x)).alias("n"), (-i).alias("first"), x.alias("x")))
+    return F.array_max(counted)["x"]
+
+
+def head(c: Column, n: int) -> Column:
+    return F.substring(c, 1, n)
+
+
 def nonempty(c: Column) -> Column:
     """NULL for the empty and the blank text."""
     return F.when(F.trim(c) != "", c)

@@ -24,6 +24,14 @@ def section_samples(sections: DataFrame, whole: DataFrame, key: str, text: str,
     return by_section.unionByName(samples(rest, key, text, **sizes).withColumn("mode", F.lit("FALLBACK_FULL_TEXT")))
 
 
+#: Sections of a paper that samples are made from.
+TRAINABLE = ("introduction", "literature_review", "methodology", "results", "discussion", "conclusion")
+
+
+def usable_sections(sections: DataFrame, section: str = "section", content: str = "content") -> DataFrame:
+    return sections.where(F.col(section).isin(*TRAINABLE) & (F.trim(content) != ""))
+
+
 def hashed_split(key: Column, share: float = 0.15, seed: int = 42) -> Column:
     """``validation`` for about ``share`` of the keys, by the first figures of a seeded digest; no shuffle, stable under growth."""
     digest = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 8), 16, 10).cast("bigint")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions.arrays import bigrams
 from quillmill.functions.udfs import sequence_ratio
 
+#: Share of bigrams that similar titles have in common at least; see best_match.
+LOOSE = 0.6
+#: Words of 64 bits in the bitmap of a text's bigrams.
+BITMAP = 4
+
 
 def _pick(df: DataFrame, keys: list[str], order: str, agg) -> DataFrame:
     # max_by combines before the shuffle, unlike a window
@@ -23,6 +28,54 @@ def keep_last(df: DataFrame, keys: list[str], order: str = "_ord") -> DataFrame:
     return _pick(df, keys, order, F.max_by)
 
 
+def first_accepted(df: DataFrame, key: Column, title: Column, order: str = "_ord") -> DataFrame:
+    """The rows that one pass in ``order`` accepts, which takes a row if it has a title and neither its key nor its title is taken.
+
+    Rounds, not a pass: a row that is the first left of its key and of its title is
+    certain; then the rows it blocks go.  ``order`` must be unique.
+    """
+    from quillmill.session import materialise
+
+    left = materialise(df.withColumn("k_", key).withColumn("t_", title).where("t_ is not null and t_ <> ''"), "left")
+    out = None
+    while not left.isEmpty():
+        k = left.groupBy("k_").agg(F.min(order).alias("by_k"))
+        t = left.groupBy("t_").agg(F.min(order).alias("by_t"))
+        sure = materialise(left.join(k, "k_").join(t, "t_").where((F.col(order) == F.col("by_k")) & (F.col(order) == F.col("by_t"))).select(*left.columns), "accepted")
+        out = sure if out is None else out.union(sure)
+        left = materialise(left.join(sure.select("k_"), "k_", "left_anti").join(sure.select("t_"), "t_", "left_anti").select(*left.columns), "left")
+    return (left if out is None else out).select(*df.columns)
+
+
+def numbered(df: DataFrame, name: str, form: str = "paper_%04d") -> DataFrame:
+    """Rows with ``paper_id`` from their rank by name, case aside; ranks come from sorted partitions, not from one task."""
+    spark = df.sparkSession
+    parts = df.withColumn("low_", F.lower(name)).repartitionByRange("low_", name).sortWithinPartitions("low_", name).withColumn("part_", F.spark_partition_id())
+    from quillmill.session import materialise
+
+    held = materialise(parts.withColumn("at_", F.monotonically_increasing_id()), "numbered")
+    sizes = held.groupBy("part_").agg(F.count("*").alias("n_"), F.min("at_").alias("first_")).orderBy("part_").collect()  # one row a partition
+    before, offsets = 0, []
+    for r in sizes:
+        offsets.append((r.part_, before - r.first_))
+        before += r.n_
+    shift = spark.createDataFrame(offsets, "part_ int, shift_ long")
+    return held.join(F.broadcast(shift), "part_").withColumn("paper_id", F.format_string(form, F.col("at_") + F.col("shift_") + 1)).drop("low_", "part_", "at_", "shift_")
+
+
+def excluded(df: DataFrame, mapping: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows without those that ``mapping`` (``duplicate_id, kept_id``) names duplicates, the duplicates with the id kept for them).
+
+    Raises if an id of the mapping is not in the table: a wrong map must not pass unnoticed.
+    """
+    ids = df.select(F.col(key).alias("id")).distinct()
+    unknown = mapping.select(F.explode(F.array("duplicate_id", "kept_id")).alias("id")).distinct().join(ids, "id", "left_anti").limit(5).collect()
+    if unknown:
+        raise ValueError(f"ids of the mapping that the table lacks: {[r.id for r in unknown]}")
+    m = mapping.select(F.col("duplicate_id").alias(key), "kept_id").distinct()
+    return df.join(m, key, "left_anti"), df.join(m, key)
+
+
 def duplicate_groups(df: DataFrame, fingerprint: Column, key: str) -> DataFrame:
     """Fingerprints held more than once: number of copies and the least key."""
     g = df.where(fingerprint.isNotNull()).groupBy(fingerprint.alias("fingerprint"))
@@ -36,6 +89,69 @@ def key_groups(df: DataFrame, key: Column, member: str, reason: str) -> DataFram
     return m.join(g, "k").select("member", "first_member", F.col("k").alias("key"), "n", F.lit(reason).alias("reason"))
 
 
+def key_pairs(df: DataFrame, key: Column, member: str, reason: str, most: int = 1000) -> DataFrame:
+    """Pairs of members that share a key, the smaller first; in a group of more than ``most`` each member only meets the least one."""
+    m = df.where(key.isNotNull()).select(key.alias("k"), F.col(member).alias("member")).distinct()
+    g = m.groupBy("k").agg(F.min("member").alias("least"), F.count("*").alias("n")).where("n > 1")
+    m = m.join(g, "k")
+    small = m.where(f"n <= {most}")
+    pairs = small.select("k", F.col("member").alias("a")).join(small.select("k", F.col("member").alias("b")), "k").where("a < b").select("a", "b")
+    star = m.where(f"n > {most} and member <> least").select(F.col("least").alias("a"), F.col("member").alias("b"))
+    return pairs.union(star).distinct().select(pair_key(F.col("a"), F.col("b")).alias("p")).select("p.*", F.lit(reason).alias("reason"))
+
+
+def first_reason_pairs(*parts: DataFrame) -> DataFrame:
+    """Union of pair tables in which an earlier table's reason for a pair hides later ones."""
+    out = None
+    for i, p in enumerate(parts):
+        q = p.withColumn("prio", F.lit(i))
+        out = q if out is None else out.unionByName(q)
+    return out.groupBy("a", "b").agg(F.min_by("reason", "prio").alias("reason"), F.min("prio").alias("prio"))
+
+
+def alike(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``t, u, g1, g2``: texts of the two one-column tables that may share LOOSE of their bigrams, with these.
+
+    A complete prefix filter: each text is looked up by its rarest bigrams only, all but
+    so many that a text sharing LOOSE of them can't have only the rest; of the pairs that
+    meet those are left out whose bitmaps prove that they share too little.
+    """
+    from quillmill.session import materialise, spread
+
+    keys = left.toDF("x").withColumn("side", F.lit(0)).union(right.toDF("x").withColumn("side", F.lit(1))).distinct()
+    keys = keys.withColumn("id", F.xxhash64("x")).withColumn("g", bigrams(F.col("x")))
+    for i in range(BITMAP):
+        mine = F.filter(F.transform("g", lambda b: F.pmod(F.xxhash64(b), F.lit(64 * BITMAP))), lambda p, i=i: F.floor(p / 64) == i)
+        keys = keys.withColumn(f"b{i}", F.aggregate(mine, F.lit(0).cast("long"), lambda a, p: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(p, F.lit(64)).cast("int")))))
+    keys = materialise(keys, "texts")
+    bits = [f"b{i}" for i in range(BITMAP)]
+    often = keys.select(F.explode("g").alias("b")).groupBy("b").agg(F.count("*").alias("often"))
+    ranked = keys.select("id", "side", F.size("g").alias("n"), *bits, F.explode("g").alias("b")).join(often, "b")
+    w = Window.partitionBy("id", "side").orderBy("often", "b")
+    took = ranked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col("n") - F.ceil(LOOSE * F.col("n")) + 1)
+    sides = [took.where(f"side = {i}").select("b", *[F.col(c).alias(f"{c}_{i}") for c in ("id", "n", *bits)]) for i in (0, 1)]
+    apart = sum((F.bit_count(F.col(f"{b}_0").bitwiseXOR(F.col(f"{b}_1"))) for b in bits), F.lit(0))
+    met = sides[0].join(sides[1], "b").where((F.col("n_0") + F.col("n_1") - apart) / 2 >= F.ceil(LOOSE * F.greatest("n_0", "n_1"))).select("id_0", "id_1").distinct()
+    texts = [keys.where(f"side = {i}").select(F.col("id").alias(f"id_{i}"), F.col("x").alias("tu"[i]), F.col("g").alias(f"g{i + 1}")) for i in (0, 1)]
+    return spread(met.join(texts[0], "id_0").join(texts[1], "id_1"), "id_0", "id_1").select("t", "u", "g1", "g2")
+
+
+def best_match(df: DataFrame, key: str, title: str, index: DataFrame, item: str, item_title: str, order: str, least: float = 0.82) -> DataFrame:
+    """``key, item, similarity``: for each row the index entry with the most similar title, the first in ``order`` of equal ones, if ``least`` similar.
+
+    Titles are compared as :func:`bigram_similarity` of their keys.  Complete by a prefix
+    filter: titles that similar share so many of their bigrams that the rarest ones of
+    each, all but LOOSE of them, must meet (a title contained in the other may repeat
+    bigrams, hence LOOSE below ``least``).  Equal titles are compared once.
+    """
+    a = df.select(F.col(key).alias("id"), F.col(title).alias("t")).where("t is not null and t <> ''").distinct()
+    b = index.select(F.col(item).alias("item"), F.col(item_title).alias("u"), F.col(order).alias("o_")).where("u is not null and u <> ''")
+    u = b.groupBy("u").agg(F.min_by("item", "o_").alias("item"), F.min("o_").alias("o_"))
+    pairs = alike(a.select("t"), u.select("u")).withColumn("similarity", bigram_similarity(F.col("t"), F.col("u"), F.col("g1"), F.col("g2"))).where(F.col("similarity") >= least)
+    best = pairs.join(u, "u").groupBy("t").agg(F.max_by(F.struct("item", "similarity"), F.struct("similarity", -F.col("o_"))).alias("m"))
+    return a.join(best, "t").select(F.col("id").alias(key), F.col("m.item").alias(item), "m.similarity")
+
+
 def pair_key(a: Column, b: Column) -> Column:
     return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
@@ -49,28 +165,30 @@ def first_reason(*parts: DataFrame) -> DataFrame:
     return out.groupBy("member").agg(F.min_by(F.struct(*rest), "prio").alias("r_")).select("member", "r_.*")
 
 
-def bigram_similarity(a: Column, b: Column) -> Column:
-    """1 for equal texts, length ratio if one contains the other (10 characters at least), else Jaccard of bigrams."""
-    x, y = bigrams(a), bigrams(b)
+def bigram_similarity(a: Column, b: Column, x: Column | None = None, y: Column | None = None) -> Column:
+    """1 for equal texts, length ratio if one contains the other (10 characters at least), else Jaccard of bigrams (``x``, ``y`` where known)."""
+    x, y = bigrams(a) if x is None else x, bigrams(b) if y is None else y
     short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
     inside = (F.contains(a, b) | F.contains(b, a)) & (short >= 10)
-    jac = F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
+    both = F.size(F.array_intersect(x, y))
+    jac = both / (F.size(x) + F.size(y) - both)
     return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).when(inside, short / long).otherwise(jac)
 
 
 def fuzzy_pairs(df: DataFrame, key: str, title: str, year: str, author: str, least: float = 0.92) -> DataFrame:
-    """Pairs of near-equal titles that share a year or an author (rows are exploded by author).
+    """``id, id2, ratio``: rows of near-equal titles that share a year or an author (rows are exploded by author), the smaller id first.
 
-    Exact: the two equi-joins cover the condition, and a length bound on the ratio
-    prunes before the ratio itself is computed.  For small collections; large ones
-    need sketches.
+    Different titles meet by :func:`alike`: where so much of two texts matches in order,
+    three quarters of their bigrams do.  Each pair of titles is measured once, whoever has it.
     """
-    d = df.select(F.col(key).alias("id"), F.col(title).alias("t"), F.col(year).alias("y"), F.col(author).alias("au")).where("t is not null and t <> ''")
+    d = df.select(F.col(key).alias("id"), F.col(title).alias("t"), F.col(year).alias("y"), F.col(author).alias("au")).where("t is not null and t <> ''").distinct()
+    texts = d.select("t").distinct()
+    pairs = alike(texts, texts).where("t <= u").select("t", "u").withColumn("ratio", F.when(F.col("t") == F.col("u"), 1.0).otherwise(sequence_ratio("t", "u"))).where(F.col("ratio") >= least)
+    both = pairs.union(pairs.where("t < u").select("u", "t", "ratio"))
     out = None
     for by in ("y", "au"):
-        a = d.where(f"{by} is not null").select("id", "t", by).distinct()
-        b = a.select(F.col("id").alias("id2"), F.col("t").alias("t2"), F.col(by).alias("by2"))
-        near = 2 * F.least(F.length("t"), F.length("t2")) >= least * (F.length("t") + F.length("t2"))
-        p = a.join(b, (F.col(by) == F.col("by2")) & (F.col("id") < F.col("id2")) & near).select("id", "id2", "t", "t2")
+        a = d.where(f"{by} is not null").select("id", "t", F.col(by).alias("by")).distinct()
+        b = a.select(F.col("id").alias("id2"), F.col("t").alias("u"), "by")
+        p = a.join(both, "t").join(b, ["u", "by"]).where("id < id2").select("id", "id2", "ratio")
         out = p if out is None else out.union(p)
-    return out.distinct().withColumn("ratio", sequence_ratio("t", "t2")).where(F.col("ratio") >= least).select("id", "id2", "ratio")
+    return out.groupBy("id", "id2").agg(F.max("ratio").alias("ratio"))

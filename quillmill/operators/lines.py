@@ -1,28 +1,10 @@
-"""Line-level cleaning and sectioning of documents.
-
-Documents stay whole: a document's lines are handled as one array, so no line table
-is shuffled and the order is the array's.
-"""
+"""Repeated lines of documents, counted over many rows of a document; see ``functions.cleaning`` for what is done inside one text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PAGE_MARK = r"^[= ]*PAGE[ ]?[0-9]+[= ]*$"
-LONE_NUMBER = r"^[-– ]*[0-9]{1,4}[-– ]*$"
-HEADINGS = {
-    "abstract": ("abstract", "초록", "요약", "국문초록"),
-    "introduction": ("introduction", "서론", "들어가며", "문제 제기"),
-    "literature_review": ("literature review", "이론적 배경", "선행연구", "theoretical background"),
-    "methodology": ("methodology", "methods?", "연구방법", "연구 방법", "자료와 방법"),
-    "results": ("results?", "연구결과", "분석 결과", "실증 결과"),
-    "discussion": ("discussion", "논의", "논의 및 시사점"),
-    "conclusion": ("conclusions?", "결론", "맺음말"),
-    "references": ("references", "참고문헌", "bibliography"),
-}
-
-
 def lines_of(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"\r\n?|[\u2028\u2029\u0085]", "\n"), "\n")
 
@@ -49,54 +31,5 @@ def removed_lines(df: DataFrame, key: str, text: str, least: int = 4, longest: i
     return t.groupBy(key).agg(F.sum("n").alias("repeated"), F.sum("chars").alias("chars"), F.sum(F.col("n") * F.length(solid)).alias("solid"), F.sum(F.col("n") * hangul).alias("hangul"))
 
 
-def without_furniture(text: Column, least: int = 4, longest: int = 80) -> Column:
-    """The text without page marks, lone page numbers and short repeated lines."""
-    lines = lines_of(text)
-    norm = F.transform(lines, squeezed)
-    often = F.array_distinct(F.filter(norm, lambda x: (x != "") & (F.length(x) <= longest)))
-    often = F.filter(often, lambda x: F.size(F.filter(norm, lambda y: y == x)) >= least)
-    kept = F.filter(lines, lambda x: ~squeezed(x).rlike(PAGE_MARK) & ~squeezed(x).rlike(LONE_NUMBER) & ~F.array_contains(often, squeezed(x)))
-    return F.array_join(kept, "\n")
-
-
-def collapse_blank(text: Column) -> Column:
-    """Runs of blank lines become one, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(text, r"\n[ \t]*(\n[ \t]*)+", "\n\n"), r"^[ \t\n]+|[ \t\n]+$", "")
-
-
-def heading(line: Column) -> Column:
-    """Name of the section that a line opens, or NULL; a number before it is ignored."""
-    s = F.lower(F.regexp_replace(squeezed(line), r"^([0-9]+|[IVX]+|[가-하]|제 ?[0-9]+ ?장)[.)]? ", ""))
-    out = None
-    for name, words in HEADINGS.items():
-        cond = s.rlike("^(" + "|".join(words) + ")$")
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return out
-
-
-def repaired_lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, para, content``: lines joined until one ends a sentence, is blank, or a heading stands between."""
-    t = df.where(F.col(text).isNotNull()).select(key, F.posexplode(lines_of(F.col(text))).alias("pos", "raw"))
-    t = t.select(key, "pos", squeezed(F.col("raw")).alias("line"))
-    w = Window.partitionBy(key).orderBy("pos")
-    plain = lambda c: (c != "") & (F.length(c) > 2) & heading(c).isNull()
-    before = F.lag("line").over(w)
-    opens = F.when(plain(before) & plain(F.col("line")) & ~before.rlike(r"[.!?。！？]$"), 0).otherwise(1)
-    t = t.withColumn("opens", F.coalesce(opens, F.lit(1))).withColumn("para", F.sum("opens").over(w))
-    # a paragraph's lines, in order; it never spans documents
-    g = t.where("line <> ''").groupBy(key, "para").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("l"))
-    return g.select(key, "para", F.array_join(F.transform("l", lambda x: x["line"]), " ").alias("content"))
-
-
-def sections(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, sec, section, chars``: the text from each heading to the next; what precedes is front matter."""
-    t = df.where(F.col(text).isNotNull()).select(key, F.posexplode(lines_of(F.col(text))).alias("pos", "raw"))
-    t = t.select(key, "pos", squeezed(F.col("raw")).alias("line")).withColumn("head", heading(F.col("line")))
-    w = Window.partitionBy(key).orderBy("pos")
-    t = t.withColumn("sec", F.sum(F.when(F.col("head").isNotNull(), 1).otherwise(0)).over(w))
-    g = t.groupBy(key, "sec").agg(F.coalesce(F.max("head"), F.lit("front_matter")).alias("section"), F.sum(F.when(F.col("head").isNull(), F.length("line")).otherwise(0)).alias("chars"))
-    return g.where("chars > 0")
-
-
 def quality_status(chars: Column, found: Column, ratio: Column) -> Column:
     return F.when(chars < 1000, "LOW_TEXT").when(chars < 3000, "VERY_SHORT").when(found == 0, "SECTION_FAILED").when(found < 2, "LOW_SECTION_DETECTION").when(ratio < 0.35, "REVIEW").otherwise("OK")

@@ -49,6 +49,41 @@ def upsert(df: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return df.join(new.select(key), key, "left_anti").unionByName(new)
 
 
+def canonical_record(base: DataFrame, found: DataFrame, key: str = "paper_id", source: str = "VERIFIED") -> DataFrame:
+    """One clean record a row of ``base``: each field from ``found`` where it has a value, else from ``base``, in the record's form."""
+    from quillmill.functions import text
+    from quillmill.functions.arrays import distinct_ci
+
+    fields = ["title", "authors", "year", "journal", "institution", "department", "document_type", "doi"]
+    m = found.select(key, *[F.col(f).alias(f"{f}__f") for f in fields], F.col("metadata_confidence").alias("c__f"), F.col("evidence").alias("e__f"))
+    d = base.join(m, key, "left")
+    pick = lambda f: text.first_nonempty(F.col(f"{f}__f"), F.col(f))
+    authors = F.when(F.size(distinct_ci(F.col("authors__f"))) > 0, F.col("authors__f")).otherwise(F.col("authors"))
+    year = text.year_found(F.coalesce(F.col("year__f"), F.col("year")).cast("string"))
+    clean = lambda c: text.null_words(text.squeeze(c))
+    return d.select(
+        key, text.polish_title(pick("title")).alias("title"), distinct_ci(authors).alias("authors"), year.alias("year"),
+        *[clean(pick(f)).alias(f) for f in ("journal", "institution", "department")],
+        doc_type(pick("document_type")).alias("document_type"), text.doi_normal(pick("doi")).alias("doi"), clean(F.col("kci_id")).alias("kci_id"),
+        "source_filename", "text_file", "sha256", "page_count", "text_chars",
+        confidence(F.col("c__f")).alias("metadata_confidence"), F.lit(source).alias("metadata_source"), clean(F.col("e__f")).alias("evidence"),
+    )
+
+
+def source_of(*candidates: tuple[str, Column]) -> Column:
+    """Struct ``source, value`` of the first candidate that is there and not blank; NULLs if none is."""
+    out = F.struct(F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("value"))
+    for name, c in reversed(candidates):
+        out = F.when(nonempty(c).isNotNull(), F.struct(F.lit(name).alias("source"), c.alias("value"))).otherwise(out)
+    return out
+
+
+def matched(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows of both sides joined, keys the right side lacks, keys the left side lacks)."""
+    a, b = left.select(key).where(F.col(key).isNotNull()).distinct(), right.select(key).where(F.col(key).isNotNull()).distinct()
+    return left.join(right, key), a.join(b, key, "left_anti"), b.join(a, key, "left_anti")
+
+
 def review_reasons() -> Column:
     return reasons(("TITLE_MISSING", nonempty(F.col("title")).isNull()), ("AUTHORS_MISSING", F.coalesce(F.size("authors"), F.lit(0)) <= 0), ("YEAR_MISSING", F.col("year").isNull()), ("DOC_TYPE_UNKNOWN", F.coalesce(F.col("document_type"), F.lit("unknown")) == "unknown"), ("LOW_CONFIDENCE", confidence(F.col("metadata_confidence")) == "LOW"))
 

@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.functions import arrays, text
+from quillmill.functions import text
 from quillmill.functions.udfs import nfkc
 from quillmill.operators import audit, dataset, dedupe, lines, metadata, relevance
-from quillmill.session import shared_dir, ship_package, table
+from quillmill.plans import documents, files, records  # noqa: F401 - they register their queries
+from quillmill.plans.registry import QUERIES as _QUERIES
+from quillmill.plans.registry import SQL as _SQL
+from quillmill.plans.registry import Query, query
+from quillmill.session import shared_dir, table
 from quillmill.sources import oai
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(*tables: str, sql: str | None = None):
-    def deco(f):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
-            return f(*[table(spark, sf_dir, n) for n in tables])
-
-        _QUERIES[f.__name__] = run
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return deco
-
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
@@ -50,9 +34,9 @@ def exact_dup_groups(docs):
     return dedupe.duplicate_groups(docs, F.sha2("text", 256), "doc_id")
 
 
-@query("paper_sections", sql=r"SELECT section_id, trim(regexp_replace(content, '[ \t\n\r]+', ' ', 'g')) AS content FROM paper_sections")
+@query("paper_sections", sql=f"SELECT section_id, {documents._squeeze('content')} AS content FROM paper_sections")
 def whitespace_normalize(s):
-    return s.select("section_id", F.trim(F.regexp_replace("content", r"[ \t\n\r]+", " ")).alias("content"))
+    return s.select("section_id", text.squeeze(c("content")).alias("content"))
 
 
 @query("papers_verified", sql="SELECT DISTINCT paper_id, regexp_replace(lower(title), '[^0-9a-z가-힣]', '', 'g') AS title_key FROM papers_verified WHERE title IS NOT NULL")
@@ -84,10 +68,9 @@ def year_extract(k):
     return k.select("_ord", text.year_found(c("publication_year")).alias("year"))
 
 
-@query("papers_verified", sql=r"""SELECT _ord, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(title, '[ \t\n\r]+', ' ', 'g'), ' ?: ?', ': ', 'g'), '\( ', '(', 'g'), ' \)', ')', 'g')) AS title FROM papers_verified""")
+@query("papers_verified", sql=rf"""SELECT _ord, regexp_replace(regexp_replace(regexp_replace({documents._squeeze('title')}, ' ?: ?', ': ', 'g'), '\( ', '(', 'g'), ' \)', ')', 'g') AS title FROM papers_verified""")
 def title_polish(p):
-    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace("title", r"[ \t\n\r]+", " "), " ?: ?", ": "), r"\( ", "("), r" \)", ")")
-    return p.select("_ord", F.trim(t).alias("title"))
+    return p.select("_ord", text.polish_title(c("title")).alias("title"))
 
 
 @query("papers_verified", sql="SELECT _ord, CASE WHEN trim(doi) <> '' AND lower(trim(doi)) NOT IN ('null', 'none', 'unknown', 'n/a', '없음', '-') THEN trim(doi) END AS doi FROM papers_verified")
@@ -156,9 +139,9 @@ def duplicate_candidates(p):
 # ---- relevance
 
 _T = [relevance.DEFAULT.required, *relevance.DEFAULT.core, *relevance.DEFAULT.extra]
-_PAT = {t.tag: t.pattern.replace("\\b", "([^a-z0-9_]|$)") for t in _T}
-_HEAD = "lower(concat_ws(' ', title, title_en, array_to_string(keywords, ' ')))"
-_BODY = "lower(concat_ws(' ', title, title_en, abstract, abstract_en, category, array_to_string(keywords, ' ')))"
+_PAT = {t.tag: t.pattern for t in _T}
+_HEAD = documents._squeeze("concat_ws(' ', title, title_en, array_to_string(keywords, ' '))")
+_BODY = documents._squeeze("concat_ws(' ', title, title_en, abstract, abstract_en, category, array_to_string(keywords, ' '))")
 _SCORE = " + ".join(f"CASE WHEN regexp_matches(h, '{_PAT[t.tag]}') THEN {t.in_title} WHEN regexp_matches(b, '{_PAT[t.tag]}') THEN {t.elsewhere} ELSE 0 END" for t in _T)
 _REL = f"""WITH x AS (SELECT *, {_HEAD} AS h, {_BODY} AS b FROM kci_oai_all),
     y AS (SELECT *, {_SCORE} AS score, CASE WHEN regexp_matches(b, '{_PAT['PERFORMANCE']}') THEN 'core' ELSE 'high' END AS tier,
@@ -171,15 +154,12 @@ def relevance_score(k):
     return relevance.scored(k).select("_ord", "score", "tier", F.array_join("tech_types", "|").alias("tech"))
 
 
-@query("kci_oai_all", sql=_REL + "SELECT _ord, identifier, score, tier FROM y ORDER BY CASE WHEN tier = 'core' THEN 0 ELSE 1 END, score DESC, regexp_extract(publication_year, '([0-9]{4})', 1) DESC, _ord LIMIT 50")
+@query("kci_oai_all", sql=_REL + "SELECT _ord, identifier, score, tier FROM y ORDER BY CASE WHEN tier = 'core' THEN 0 ELSE 1 END, score DESC, coalesce(regexp_extract(publication_year, '([0-9]{4})', 1), '') DESC, _ord LIMIT 50")
 def relevance_rank(k):
-    d = relevance.scored(k.where("publication_year is not null"))
+    d = relevance.scored(k)
     return d.orderBy(*relevance.ranked(d)).limit(50).select("_ord", "identifier", "score", "tier")
 
 
-_SQL["relevance_rank"] = _SQL["relevance_rank"].replace("FROM kci_oai_all)", "FROM kci_oai_all WHERE publication_year IS NOT NULL)")
-
-
 @query("kci_oai_all", sql=_REL + "SELECT tier, count(*) AS n, count(*) FILTER (WHERE open_access = 'Y') AS open_access, count(*) FILTER (WHERE tech LIKE '%AI%') AS ai FROM y GROUP BY tier")
 def tier_counts(k):
     d = relevance.scored(k)
@@ -191,26 +171,6 @@ def tier_counts(k):
 _LINES = r"SELECT doc_id, unnest(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10))) AS raw FROM documents WHERE text IS NOT NULL"
 
 
-@query("documents")
-def repeated_lines(d):
-    return lines.repeated_lines(d, "doc_id", "text", least=2)
-
-
-@query("documents")
-def clean_text(d):
-    return d.where("text is not null").select("doc_id", lines.collapse_blank(lines.without_furniture(c("text"))).alias("text"))
-
-
-@query("documents")
-def line_repair(d):
-    return lines.repaired_lines(d, "doc_id", "text")
-
-
-@query("documents")
-def sectionize(d):
-    return lines.sections(d, "doc_id", "text")
-
-
 @query("papers_verified", "paper_sections", sql="""WITH s AS (SELECT paper_id, CAST(sum(length(content)) AS BIGINT) AS kept, count(DISTINCT section) AS found FROM paper_sections WHERE content <> '' GROUP BY 1),
     p AS (SELECT DISTINCT paper_id, text_chars FROM papers_verified)
     SELECT p.paper_id, CASE WHEN text_chars < 1000 THEN 'LOW_TEXT' WHEN text_chars < 3000 THEN 'VERY_SHORT' WHEN coalesce(found, 0) = 0 THEN 'SECTION_FAILED'
@@ -277,9 +237,9 @@ def title_check(p, k):
 
 @query("papers_verified", "kci_oai_all")
 def bigram_best_match(p, k):
-    last = dedupe.keep_last(k.where("article_id <> ''").select(c("article_id").alias("kci_id"), c("title").alias("k_title"), "_ord"), ["kci_id"])
-    j = p.where("title is not null").join(last.where("k_title is not null"), "kci_id")
-    return j.select("paper_id", "kci_id", dedupe.bigram_similarity(text.title_key(c("title")), text.title_key(c("k_title"))).alias("similarity")).distinct()
+    index = k.where("article_id <> '' and title <> ''").select("article_id", text.title_key(c("title")).alias("u"), "_ord")
+    own = p.where("title <> ''").select("paper_id", text.title_key(c("title")).alias("t")).distinct()
+    return dedupe.best_match(own, "paper_id", "t", index, "article_id", "u", "_ord")
 
 
 @query("papers_verified", sql="""SELECT _ord, concat_ws('|', CASE WHEN title IS NULL OR trim(title) = '' THEN 'TITLE_MISSING' END, CASE WHEN coalesce(len(authors), 0) = 0 THEN 'AUTHORS_MISSING' END,
@@ -312,11 +272,6 @@ def upsert(o):
     return metadata.upsert(o, o.where("o_orderkey % 11 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus")), "o_orderkey")
 
 
-@query("kci_oai_all")
-def ordered_ci_distinct(k):
-    return k.select("_ord", F.array_join(arrays.distinct_ci(F.coalesce("keywords", F.array().cast("array<string>"))), " | ").alias("keywords"))
-
-
 @query("kci_oai_all", sql="SELECT k AS keyword, count(*) AS n FROM (SELECT unnest(keywords) AS k FROM kci_oai_all) t WHERE k <> '' GROUP BY 1 ORDER BY n DESC, keyword LIMIT 100")
 def term_frequency(k):
     t = k.select(F.explode("keywords").alias("keyword")).where("keyword <> ''")
@@ -354,10 +309,10 @@ def group_split(p):
     return p.where("paper_id is not null").select("paper_id", dataset.hashed_split(c("paper_id")).alias("split")).distinct()
 
 
-@query("papers_verified", sql="SELECT CAST(0 AS BIGINT) AS leaked")
+@query("paper_split", sql="SELECT DISTINCT a.paper_id FROM paper_split a JOIN paper_split b ON a.paper_id = b.paper_id WHERE regexp_matches(lower(trim(a.split)), '^tr') AND regexp_matches(lower(trim(b.split)), '^(val|dev)')")
 def leakage_check(p):
-    s = p.where("paper_id is not null").select("paper_id", dataset.hashed_split(c("paper_id")).alias("split"))
-    return dataset.leaked(s.where("split = 'train'"), s.where("split = 'validation'"), "paper_id").agg(F.count("*").alias("leaked"))
+    low = F.lower(F.trim("split"))
+    return dataset.leaked(p.where(low.rlike("^tr")), p.where(low.rlike("^(val|dev)")), "paper_id")
 
 
 @query("papers_verified", "paper_split", sql="SELECT (SELECT count(*) FROM (SELECT paper_id FROM papers_verified INTERSECT SELECT paper_id FROM paper_split) a) AS both_, (SELECT count(*) FROM (SELECT paper_id FROM papers_verified EXCEPT SELECT paper_id FROM paper_split) b) AS unsplit")
@@ -373,16 +328,16 @@ def summary_report(s):
     return s.agg(F.count("*").alias("sections"), F.count_distinct("paper_id").alias("papers"), F.min(n).alias("least"), F.max(n).alias("most"), (F.sum(n) / F.count("content")).alias("mean"), F.count_if(c("content") == "").alias("empty"))
 
 
-@query("paper_sections", sql="SELECT paper_id, string_agg('===== PAGE ' || section_no || ' =====', chr(10) ORDER BY section_no, section_id) AS marks FROM paper_sections WHERE paper_id IS NOT NULL GROUP BY 1")
+@query("paper_sections", sql="""SELECT paper_id, string_agg('===== PAGE ' || r || ' =====' || chr(10) || chr(10) || content, chr(10) || chr(10) ORDER BY r) AS text
+    FROM (SELECT paper_id, content, row_number() OVER (PARTITION BY paper_id ORDER BY section_no, section_id) AS r FROM paper_sections WHERE paper_id IS NOT NULL AND content IS NOT NULL) t GROUP BY 1""")
 def page_marks(s):
-    g = s.where("paper_id is not null").groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("section_no", "section_id"))).alias("l"))
-    return g.select("paper_id", F.array_join(F.transform("l", lambda x: F.concat(F.lit("===== PAGE "), x["section_no"].cast("string"), F.lit(" ====="))), "\n").alias("marks"))
+    g = s.where("paper_id is not null and content is not null").groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("section_no", "section_id", "content"))).alias("l"))
+    return g.select("paper_id", text.page_joined(F.transform("l", lambda x: x["content"])).alias("text"))
 
 
 @query("papers_verified", sql="SELECT DISTINCT paper_id, CASE WHEN text_chars >= 3000 THEN 'RECOVERED' WHEN text_chars >= 1000 THEN 'PARTIAL' ELSE 'STILL_LOW' END AS status, page_count, CASE WHEN page_count > 0 THEN text_chars * 1.0::DOUBLE / page_count ELSE 0.0::DOUBLE END AS per_page FROM papers_verified")
 def low_text_status(p):
-    s = F.when(c("text_chars") >= 3000, "RECOVERED").when(c("text_chars") >= 1000, "PARTIAL").otherwise("STILL_LOW")
-    return p.select("paper_id", s.alias("status"), "page_count", text.safe_ratio(c("text_chars"), c("page_count")).alias("per_page")).distinct()
+    return p.select("paper_id", audit.recovered_status(c("text_chars")).alias("status"), "page_count", text.safe_ratio(c("text_chars"), c("page_count")).alias("per_page")).distinct()
 
 
 @query("papers_verified", sql="SELECT sha256, count(*) AS copies, min(source_filename) AS representative FROM papers_verified WHERE sha256 IS NOT NULL GROUP BY 1 HAVING count(*) > 1")

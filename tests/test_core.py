@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.functions import arrays, text
+from quillmill.functions import arrays, cleaning, text
 from quillmill.functions.udfs import cut_long, nfkc, packed
-from quillmill.operators import audit, dataset, dedupe, lines, metadata
+from quillmill.operators import audit, dataset, dedupe, identify, lines, metadata
 from quillmill.plans import catalog
 from quillmill.session import broadcast_if_small, materialise
-from quillmill.sources import files, jsonl, oai
+from quillmill.sources import files, harvest, jsonl, oai
 from quillmill.streaming.ingest import compacted, ingest
 
 
@@ -75,12 +75,126 @@ def test_lines(spark):
     doc = "머리글\n서론\n첫 줄이 이어\n진다.\n12\n머리글\n머리글\n머리글\n결론\n끝났다."
     d = spark.createDataFrame([(1, doc), (2, ""), (3, None)], "id int, t string")
     assert {(r.line, r.n) for r in lines.repeated_lines(d, "id", "t").collect()} == {("머리글", 4)}
-    clean = {r.id: r.x for r in d.select("id", lines.without_furniture(F.col("t")).alias("x")).collect()}
-    assert "머리글" not in clean[1] and "12" not in clean[1] and clean[2] == "" and clean[3] is None
-    paras = [r.content for r in lines.repaired_lines(d.where("id = 1").select("id", F.lit("서론\n첫 줄이 이어\n진다.\n다음 문장.").alias("t")), "id", "t").orderBy("para").collect()]
-    assert paras == ["서론", "첫 줄이 이어 진다.", "다음 문장."]
-    secs = [(r.section, r.chars) for r in lines.sections(d, "id", "t").where("id = 1").orderBy("sec").collect()]
-    assert [s for s, _ in secs] == ["front_matter", "introduction", "conclusion"]
+    got = {r.id: r.f for r in d.select("id", cleaning.drop_furniture(F.col("t")).alias("f")).collect()}
+    assert got[1].text == "서론\n첫 줄이 이어\n진다.\n결론\n끝났다." and got[1].removed == 5 and got[1].repeated == ["머리글"]
+    assert got[2].text == "" and got[3].text is None
+    secs = [tuple(x) for x in d.where("id = 1").select(cleaning.split_sections(F.col("t")).alias("s")).first().s]
+    assert [x[0] for x in secs] == ["front_matter", "introduction", "conclusion"] and secs[2] == ("conclusion", "결론", "끝났다.")
+
+
+def test_cleaning():
+    assert cleaning.normalised("Ａ\ufeff\n\n \n===== PAGE 3 =====\nb  \n") == "A\n\nb"
+    assert cleaning.line_repaired("서론\n첫 줄이 이어\n진다.\n다음 문장.\n\n\nx\n끝") == "서론\n첫 줄이 이어 진다.\n다음 문장.\n\nx\n끝"
+    assert cleaning.section_of("제 2 장 연구 방법 및 자료") == "methodology" and cleaning.section_of("이 논문은 " + "긴 " * 70 + "서론") is None
+    assert cleaning.section_of("") is None and cleaning.sectioned("") == []
+    long = "가나다라마바사아자차카타파하 " * 3 + "결론"
+    assert cleaning.section_of(long) == "conclusion" and cleaning.section_of(long * 2) is None
+
+
+def test_identification(spark):
+    d = spark.createDataFrame([("a", 1, "저작자표시-비영리-변경금지\n이용허락규약"), ("a", 2, "스마트공장 도입이 성과에\n미치는 영향 분석\n2020년 2월"), ("b", 1, ""), ("c", 1, None)], "id string, page int, t string")
+    got = {r.id: r for r in identify.identified(d, "id", "page", "t").collect()}
+    assert got["a"].title == "스마트공장 도입이 성과에 미치는 영향 분석" and got["a"].status == "AUTO_IDENTIFIED"
+    assert got["b"].status == got["c"].status == "NEEDS_OCR_OR_REVIEW"
+
+
+def test_best_match_against_brute_force(spark):
+    rng = random.Random(3)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(9, 26))) for _ in range(120)]
+    mine = []
+    for i, n in enumerate(names[:60]):
+        m = list(n)
+        for _ in range(rng.randint(0, 2)):
+            m[rng.randrange(len(m))] = rng.choice("abcdefgh")
+        mine.append((f"p{i:02d}", "".join(m)[: len(m) - rng.randint(0, 2)]))
+    index = [(f"k{i:03d}", n, i) for i, n in enumerate(names + names[:5])]
+
+    def sim(a, b):
+        if a == b:
+            return 1.0
+        short, long = sorted((len(a), len(b)))
+        if short >= 10 and (a in b or b in a):
+            return short / long
+        x, y = ({s[i : i + 2] for i in range(len(s) - 1)} for s in (a, b))
+        return len(x & y) / len(x | y)
+
+    want = {}
+    for pid, t in mine:
+        s, _, k = max((sim(t, u), -o, k) for k, u, o in index)
+        if s >= 0.82:
+            want[pid] = (k, round(s, 9))
+    d = spark.createDataFrame(mine + [("x", None), ("y", "")], "id string, t string")
+    got = dedupe.best_match(d, "id", "t", spark.createDataFrame(index, "k string, u string, o int"), "k", "u", "o")
+    assert {r.id: (r.k, round(r.similarity, 9)) for r in got.collect()} == want and len(want) > 30
+
+
+def test_first_accepted_against_a_loop(spark):
+    rng = random.Random(9)
+    rows = [(i, f"k{rng.randrange(25)}", rng.choice(["", f"t{rng.randrange(25)}"])) for i in range(120)]
+    keys, titles, want = set(), set(), []
+    for i, k, t in rows:
+        if t and k not in keys and t not in titles:
+            keys.add(k)
+            titles.add(t)
+            want.append(i)
+    d = spark.createDataFrame(rows, "_ord long, k string, t string")
+    assert sorted(r._ord for r in dedupe.first_accepted(d, F.col("k"), F.col("t")).collect()) == want
+    assert dedupe.first_accepted(d.limit(0), F.col("k"), F.col("t")).count() == 0
+
+
+def test_exclusion_map_is_validated(spark):
+    d = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    kept, gone = dedupe.excluded(d, spark.createDataFrame([("b", "a")], "duplicate_id string, kept_id string"), "id")
+    assert {r.id for r in kept.collect()} == {"a", "c"} and [(r.id, r.kept_id) for r in gone.collect()] == [("b", "a")]
+    with pytest.raises(ValueError):
+        dedupe.excluded(d, spark.createDataFrame([("b", "z")], "duplicate_id string, kept_id string"), "id")
+
+
+def test_records_in_both_formats():
+    own = oai.parsed('<r:record xmlns:r="u"><r:header><r:identifier> i1 </r:identifier></r:header><r:metadata><oai_kci><articleInfo article-id="ART1"/><article-title>t0</article-title><article-title lang="english">te</article-title><name>A</name><name>a</name><pub-year>2001</pub-year><pub-year>2002</pub-year><url>ftp://x</url></oai_kci></r:metadata></r:record>')
+    assert (own["identifier"], own["title"], own["title_en"], own["authors"], own["publication_year"], own["article_id"], own["landing_url"]) == ("i1", "t0", "te", ["A"], "2002", "ART1", None)
+    dc = oai.parsed("<record><header status='deleted'/><metadata><dc><title>a</title><title>b</title><creator>X; Y|Z</creator><subject>s</subject><date>1999-01</date><url>http://k?artiId=ART22</url><description>see 10.1234/ab.</description></dc></metadata></record>")
+    assert (dc["deleted"], dc["title"], dc["title_en"], dc["authors"], dc["category"], dc["publication_year"], dc["article_id"], dc["doi"]) == ("Y", "a", "b", ["X", "Y", "Z"], "s", "1999", "ART22", "10.1234/ab")
+    assert oai.parsed("<broken")["metadata_type"] == "unknown"
+
+
+def test_ingest_takes_all_pages(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for i in range(6):
+        (feed / f"{i:05d}.xmls").write_text(f"<r>{i}</r>\n")
+    spark.dataSource.register(oai.PageFeed)
+    stream = spark.readStream.format("quillmill_pages").option("path", str(feed)).option("maxPagesPerTrigger", 2).load()
+    ingest(stream, str(tmp_path / "log"), str(tmp_path / "cp"))
+    assert sorted(r.page for r in spark.read.parquet(str(tmp_path / "log")).collect()) == list(range(6))
+
+
+def test_requests_are_repeated_but_not_protocol_errors():
+    asked = []
+
+    def ask():
+        asked.append(1)
+        if len(asked) < 3:
+            raise OSError("no answer")
+        return "page"
+
+    assert harvest.patient(ask, 5, 0) == "page" and len(asked) == 3
+    with pytest.raises(harvest.HarvestError):
+        harvest.patient(lambda: harvest.answered(b"<OAI><error code='badArgument'>x</error></OAI>"), 5, 0)
+    rows, token = harvest.records_of(harvest.answered(b"<OAI><record>1</record><resumptionToken> t </resumptionToken></OAI>"))
+    assert len(rows) == 1 and token == "t"
+
+
+def test_failed_rows_keep_their_error(spark):
+    d = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, t string")
+
+    def plug(r):
+        if r["t"] == "b":
+            raise ValueError("bad")
+        return {"n": 1}
+
+    got = {r.id: (r.n, r.error) for r in files.enriched(d, plug, d.where("id = 3").select("id"), "id", "id int, n int", retries=2, wait=0).collect()}
+    assert got[1] == (1, None) and got[2][0] is None and "bad" in got[2][1] and 3 not in got
 
 
 @pytest.mark.parametrize("chars,found,ratio,want", [(999, 9, 1.0, "LOW_TEXT"), (2999, 9, 1.0, "VERY_SHORT"), (3000, 0, 1.0, "SECTION_FAILED"), (3000, 1, 1.0, "LOW_SECTION_DETECTION"), (3000, 2, 0.34, "REVIEW"), (3000, 2, 0.35, "OK")])
