@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillmill.llm import names
 from quillmill.llm.authors import UNIT_SUFFIX
@@ -25,7 +26,9 @@ from quillmill.llm.canonical import canonical_text
 from quillmill.llm.components import hash_to_min
 from quillmill.session import discard, materialise, ship_package, spread
 
-K, TAKE, SKETCHES = 3, 6, 16
+K, TAKE, SKETCHES = 3, 4, 16
+#: Words of 64 bits in the bitmap of a title's k-mers, which rules out pairs before they are aligned.
+BITMAP = 4
 #: A key that more records hold is split by their authors' names; see ``_sides``.
 HOT = 500
 #: Share of the shorter title that edits may touch.
@@ -65,21 +68,22 @@ def title_parts(title: str | None) -> tuple[str, str, str]:
     return letters(s), letters(main), " ".join(re.findall(r"\d+", s))
 
 
-def order_minhash(titles: list[str]) -> np.ndarray:
-    """Order MinHash sketches, a row a string: of each hash the least TAKE labelled k-mers, in text order.
+def order_minhash(titles: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(Order MinHash sketches, bitmap of the k-mers), a row a string: of each hash the least TAKE labelled k-mers, in text order.
 
     A string with fewer k-mers is sketched by all of them.
     """
     out = np.zeros((len(titles), SKETCHES), dtype=np.uint64)
+    bits = np.zeros((len(titles), BITMAP), dtype=np.int64)
     order = sorted(range(len(titles)), key=lambda i: len(titles[i]))
     at = 0
     while at < len(order):  # strings of like length, of bounded size together
         end = at + 1
         while end < len(order) and (end + 1 - at) * len(titles[order[end]]) <= 1_000_000:
             end += 1
-        out[order[at:end]] = _sketched([titles[i] for i in order[at:end]])
+        out[order[at:end]], bits[order[at:end]] = _sketched([titles[i] for i in order[at:end]])
         at = end
-    return out
+    return out, bits
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -90,7 +94,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(29)
 
 
-def _sketched(titles: list[str]) -> np.ndarray:
+def _sketched(titles: list[str]) -> tuple[np.ndarray, np.ndarray]:
     width = max(TAKE, max(map(len, titles)) - K + 1)
     codes = np.zeros((len(titles), width + K - 1), dtype=np.uint64)
     for i, t in enumerate(titles):
@@ -100,6 +104,9 @@ def _sketched(titles: list[str]) -> np.ndarray:
         gram = gram * np.uint64(0x100000001B3) + codes[:, k : k + width]
     gram = _mixed(gram)
     there = np.arange(width)[None, :] < np.array([len(t) - K + 1 for t in titles])[:, None]
+    flags = np.zeros((len(titles), 64 * BITMAP), dtype=bool)
+    row, col = np.nonzero(there)
+    flags[row, gram[row, col] % np.uint64(64 * BITMAP)] = True
     # label each k-mer with the number of equal ones before it
     by = np.argsort(gram, axis=1, kind="stable")
     run = np.take_along_axis(gram, by, 1)
@@ -121,7 +128,7 @@ def _sketched(titles: list[str]) -> np.ndarray:
         for k in range(TAKE):
             acc = (acc ^ got[:, k]) * np.uint64(31) + np.uint64(k)
         out[:, j] = _mixed(acc)
-    return out
+    return out, np.packbits(flags, axis=1).view(np.int64)
 
 
 @lru_cache(60_000)
@@ -137,25 +144,29 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [title_parts(t) for t in b.title]
         named = np.array([bool(p[0]) and any(a and a.strip() for a in (w if w is not None else ())) for p, w in zip(parts, b.authors)], dtype=bool)
         at = np.flatnonzero(named)
-        sk = order_minhash([parts[i][0] for i in at]) if len(at) else np.empty((0, SKETCHES), np.uint64)
+        none = np.empty((0, SKETCHES), np.uint64)
+        sk, bits = order_minhash([parts[i][0] for i in at]) if len(at) else (none, np.empty((0, BITMAP), np.int64))
         second = [i for i in at if parts[i][1] != parts[i][0]]
-        sk2 = order_minhash([parts[i][1] for i in second]) if second else np.empty((0, SKETCHES), np.uint64)
+        sk2 = order_minhash([parts[i][1] for i in second])[0] if second else none
         equal = [i for i, p in enumerate(parts) if len(p[0]) > LONG]
         rows = np.concatenate((np.repeat(at, SKETCHES), np.repeat(np.array(second, dtype=int), SKETCHES), np.array(equal, dtype=int)))
         keys = np.concatenate((sk.ravel(), sk2.ravel(), np.array([hash_str("=" + parts[i][0]) for i in equal], dtype=np.uint64)))
-        yield pd.DataFrame({"paper_id": b.paper_id.to_numpy()[rows], "key": keys.view(np.int64)}).drop_duplicates()
+        every = np.zeros((len(parts), BITMAP), np.int64)
+        every[at] = bits
+        letters = np.array([len(p[0]) for p in parts], dtype=np.int32)
+        yield pd.DataFrame({"paper_id": b.paper_id.to_numpy()[rows], "key": keys.view(np.int64), "letters": letters[rows], **{f"b{k}": every[rows, k] for k in range(BITMAP)}}).drop_duplicates()
 
 
 def _sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keys split by what two records need in common to be one publication: a key of an author's name, or none named."""
     for b in batches:
-        ids, keys = [], []
-        for pid, key, authors in zip(b.paper_id, b.key, b.authors):
+        rows, keys = [], []
+        for i, (key, authors) in enumerate(zip(b.key, b.authors)):
             who = [a for a in (authors if authors is not None else ()) if a and a.strip()]
             side = {k for a in who for k in author_sides(a)} or {""}
-            ids.extend([pid] * len(side))
+            rows.extend([i] * len(side))
             keys.extend(hash_str(f"{key}|{k}") for k in side)
-        yield pd.DataFrame({"paper_id": ids, "key": np.array(keys, dtype=np.uint64).view(np.int64)})
+        yield b.iloc[rows].assign(key=np.array(keys, dtype=np.uint64).view(np.int64)).drop(columns=["n", "authors"])
 
 
 @lru_cache(20_000)
@@ -315,19 +326,24 @@ def candidates(r: DataFrame, hot: int = HOT) -> DataFrame:
     held = materialise(r.join(reps, "sig"), "held")
     copies = held.where("paper_id <> rep").select(F.col("rep").alias("a"), F.col("paper_id").alias("b"), F.coalesce("doi", "kci_id").isNotNull().alias("by_id"))
     one = held.where("paper_id = rep").drop("sig", "rep")
-    text = spread(one.select("paper_id", "title", "authors"), "paper_id").mapInPandas(_keys, "paper_id string, key long").withColumn("by_id", F.lit(False))
-    ids = one.select("paper_id", F.explode(F.array_compact(F.array(F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("d"), "doi")), F.when(F.col("kci_id").isNotNull(), F.xxhash64(F.lit("k"), "kci_id"))))).alias("key"), F.lit(True).alias("by_id"))
-    keys = materialise(text.unionByName(ids).distinct(), "keys")
+    bits = [f"b{k}" for k in range(BITMAP)]
+    text = spread(one.select("paper_id", "title", "authors"), "paper_id").mapInPandas(_keys, "paper_id string, key long, letters int, " + ", ".join(f"{x} long" for x in bits)).withColumn("by_id", F.lit(False))
+    known = [F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c[0]), c)) for c in ("doi", "kci_id")]
+    ids = one.select("paper_id", F.explode(F.array_compact(F.array(*known))).alias("key"), F.lit(0).alias("letters"), *[F.lit(0).cast("long").alias(x) for x in bits], F.lit(True).alias("by_id"))
+    keys = materialise(text.unionByName(ids).dropDuplicates(["paper_id", "key"]), "keys")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     meet = materialise(keys.join(shared, "key"), "meeting")
     discard(keys)
-    much = meet.where(f"n > {hot}").join(one.select("paper_id", "authors"), "paper_id").select("paper_id", "key", "authors", "by_id")
-    split = much.where("not by_id").mapInPandas(_sides, "paper_id string, key long").withColumn("by_id", F.lit(False))
-    split = split.union(much.where("by_id").mapInPandas(_sides, "paper_id string, key long").withColumn("by_id", F.lit(True)))
-    few = meet.where(f"n <= {hot}").select("paper_id", "key", "by_id").union(split)
-    x = few.select(F.col("paper_id").alias("a"), "key", "by_id")
-    y = few.select(F.col("paper_id").alias("b"), "key")
-    pairs = x.join(y, "key").where("a < b").select("a", "b", "by_id").union(copies)
+    much = meet.where(f"n > {hot}").join(one.select("paper_id", "authors"), "paper_id")
+    kept = T.StructType([f for f in meet.schema if f.name != "n"])
+    few = meet.where(f"n <= {hot}").select(*kept.names).union(much.mapInPandas(_sides, kept).select(*kept.names))
+    sides = [few.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("paper_id", "letters", "by_id", *bits)]) for k in (1, 2)]
+    # k-mers of one title that the other lacks, as far as the bitmaps tell; the shorter title's count, see same_title
+    lacks = [sum((F.bit_count(F.col(f"{x}_{k}").bitwiseAND(F.bitwise_not(f"{x}_{3 - k}"))) for x in bits), F.lit(0)) for k in (1, 2)]
+    least = F.when(F.col("letters_1") < F.col("letters_2"), lacks[0]).when(F.col("letters_1") > F.col("letters_2"), lacks[1]).otherwise(F.least(*lacks))
+    most = K * F.greatest(F.lit(2), F.floor(MAX_EDITS * F.least("letters_1", "letters_2")))
+    met = sides[0].join(sides[1], "key").where("paper_id_1 < paper_id_2").where(F.col("by_id_1") | (least <= most))
+    pairs = met.select(F.col("paper_id_1").alias("a"), F.col("paper_id_2").alias("b"), F.col("by_id_1").alias("by_id")).union(copies)
     return pairs.groupBy("a", "b").agg(F.max("by_id").alias("by_id"))
 
 

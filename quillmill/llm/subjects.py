@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmill.llm.canonical import canonical_text
-from quillmill.session import broadcast_if_small, materialise, ship_package
+from quillmill.session import broadcast_if_small, materialise, occupied, ship_package
 
 #: The lexicon is fitted on at most so many labelled rows (the smallest document ids).
 LABELLED = 50_000
@@ -211,7 +211,7 @@ def scored(docs: DataFrame, labels: DataFrame, areas: DataFrame) -> DataFrame:
     lex = lexicon(docs, labels, areas)
     held = docs.sparkSession.sparkContext.broadcast(lex)  # terms of at most LABELLED documents
     schema = T.StructType([docs.schema["doc_id"], T.StructField("source", T.StringType()), T.StructField("area", T.StringType()), T.StructField("hits", T.IntegerType()), T.StructField("sents", T.IntegerType()), *[T.StructField(f, T.IntegerType()) for f in FUNCTIONS[:6]]])
-    text = docs.where("text is not null and trim(text) <> ''").select("doc_id", "text", "source")
+    text = occupied(docs.where("text is not null and trim(text) <> ''").select("doc_id", "text", "source"), "doc_id")
 
     def run(batches):
         return _voter(held.value)(batches)

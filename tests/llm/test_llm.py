@@ -77,6 +77,97 @@ def test_publications_and_survivors(spark, small):
     assert publications.found(small.limit(0)).count() == 0
 
 
+def test_candidates_against_all_pairs(spark):
+    rng = random.Random(12)
+    rows, n = [], 0
+    for g in range(60):
+        base = "".join(rng.choice("가나다라마바사아자차카타파하거너더러머버서어저처커터퍼허") for _ in range(rng.randint(30, 60)))
+        for _ in range(3):
+            t = list(base)
+            for _ in range(rng.randint(0, 2)):
+                t[rng.randrange(len(t))] = rng.choice("고노도로모보소오조초코토포호")
+            rows.append((f"p{n:03d}", "".join(t), [f"나현{'가나다라'[g % 4]}"], 2020, None, None))
+            n += 1
+    rows += [("q1", rows[0][1], None, 2020, None, None), ("q2", rows[0][1], [], 2020, None, None), ("z1", None, None, None, None, None)]
+    d = spark.createDataFrame(rows, "paper_id string, title string, authors array<string>, year int, doi string, kci_id string")
+    want = set()
+    for i, x in enumerate(rows):
+        for y in rows[i + 1 :]:
+            if x[1] and y[1] and publications.same_publication((x[1], x[2], x[3], None), (y[1], y[2], y[3], None)):
+                want.add((x[0], y[0]) if x[0] < y[0] else (y[0], x[0]))
+    plain = {(r.a, r.b) for r in publications.candidates(d).collect()}
+    assert len(plain) < 5 * len(rows) and len(want) > 150
+    assert _joined(want, plain) >= 0.95 * len(want)
+    split = {(r.a, r.b) for r in publications.candidates(d, hot=1).collect()}
+    assert _joined(want, split) >= 0.95 * len(want)
+
+
+def _joined(want, met):
+    """How many of the wanted pairs are in one group over those that met."""
+    top = {x: x for e in want for x in e}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in want & met:
+        top[find(a)] = find(b)
+    return sum(find(a) == find(b) for a, b in want)
+
+
+def test_equal_records_meet_once(spark):
+    rows = [(f"p{i:03d}", TITLE, ["나현기"], 2020, "10.1234/x.1", None) for i in range(50)]
+    d = spark.createDataFrame(rows, "paper_id string, title string, authors array<string>, year int, doi string, kci_id string")
+    assert {(r.a, r.b) for r in publications.candidates(d).collect()} == {("p000", r[0]) for r in rows[1:]}
+
+
+def test_names_meet_against_all_pairs():
+    people = ["나현기", "조은연", "홍하혁", "강준예", "정석찬", "박지예", "김동란", "이보별"]
+    forms = ["Hyun-ki Na", "H.-K. Na", "Cho, Eun-yeon", "홍하획", "준예 강", "Park JY", "J.-Y. Kang", "Lee, Bo-byul", "김동란1,*"]
+    for x in forms:
+        for y in people:
+            f, n = names.parse(x), names.parse(y)
+            if names.likelihood(f, n) > 0:
+                assert names.block_keys(f, False) & names.block_keys(n), (x, y)
+
+
+def test_initial_before_a_full_word_is_no_given_name():
+    v, own = names.parse("Anthony D. Thornwick"), names.parse("Drumard Anthony")
+    assert names.likelihood(v, own) == 0
+    assert names.likelihood(names.parse("Thornwick, Anthony D."), v) > 0
+
+
+def test_chains_of_names(spark):
+    hop = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "d"), ("r", "s"), ("s", "r")], "cid string, cid2 string")
+    ends = {r.cid: r.end for r in authors._ends(hop).collect()}
+    assert [ends[k] for k in "abcxrs"] == ["d", "d", "d", "d", "r", "r"]
+
+
+def test_log_factorial(spark):
+    import math
+
+    got = spark.range(0, 200, 7).select("id", authors._log_factorial(F.col("id")).alias("f")).collect()
+    assert all(abs(r.f - math.lgamma(r.id + 1)) < 3e-3 for r in got)
+
+
+def test_nearest_to_the_consensus(spark, small):
+    got = {(r.group_id, r.field_name): r.paper_id for r in survivors.nearest(small).collect()}
+    assert got == {("a", "title"): "a", ("a", "doi"): "c", ("a", "year"): "b"}
+
+
+def test_consensus_of_many_titles(spark):
+    rng = random.Random(3)
+    words = TITLE.split()
+    rows = []
+    for i in range(130):
+        w = list(words)
+        w[rng.randrange(len(w))] += rng.choice("가나다라마바사") + str(i)
+        rows.append(("g", " ".join(w), 1.0))
+    got = survivors.consensus_titles(spark.createDataFrame(rows, "group_id string, title string, weight double")).collect()
+    assert [r.consensus for r in got] == [TITLE]
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
@@ -149,6 +240,14 @@ def test_leaks(spark):
     assert leaks.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_of_short_sentences(spark):
+    item = "가격은 삼백오 원으로 크게 올랐다. 둘째 문장은 여섯 낱말로 된다 하였다."
+    docs = spark.createDataFrame([(1, "앞 글이다. 가격은 삼백오 원으로 크게 올랐다. 뒤 글이다."), (2, "가격은 내렸다. 크게 올랐다."), (1, "앞 글이다. 가격은 삼백오 원으로 크게 올랐다. 뒤 글이다.")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item), (7, item)], "item_id long, item_text string")
+    assert leaks.least_hits(item) == 1 and leaks.least_hits(ITEM) == leaks.LEAST_HITS
+    assert [(r.doc_id, r.item_id) for r in leaks.leaks(docs, items).collect()] == [(1, 7)]
+
+
 def test_trie_against_brute_force():
     rng = random.Random(4)
     words = {"".join(rng.choice("abc") for _ in range(rng.randint(3, 6))): 1 for _ in range(200)}
