@@ -25,6 +25,8 @@ from quillmill.session import discard, materialise, ship_package, spread
 NOVEL = 0.0075
 #: Likelihoods from here on are systematic variants, below they are typing errors.
 SYSTEMATIC = 0.01
+#: Papers with an institution that a name needs, and the share of them in one institution, for that to be its home.
+LEAST_PAPERS, AT_HOME = 3, 0.95
 #: Units that are part of another institution.
 UNIT_SUFFIX = r"\s+(산학협력단|연구처)$"
 
@@ -43,11 +45,21 @@ def entries(papers: DataFrame) -> DataFrame:
     )
 
 
-def _located(e: DataFrame, registry: DataFrame) -> DataFrame:
-    """Gives papers without an institution that of a coauthor written exactly as registered."""
+def _located(e: DataFrame, registry: DataFrame, forms: DataFrame) -> DataFrame:
+    """Gives papers without an institution that of their authors, if those who have one agree.
+
+    An author's institution is the registered one for an exact registered form, or
+    that of nearly all papers (AT_HOME) on which the same full name stands.
+    """
     r = registry.where("entity_type = 'person' and institution is not null")
     exact = r.select(F.col("name").alias("raw"), "institution").union(r.select("name_en", "institution")).distinct()
-    seen = e.where("inst is null").join(exact, "raw").groupBy("paper_id").agg(F.max("institution").alias("inst2"), F.count_distinct("institution").alias("n"))
+    full = forms.where("kind = 'ko' or kind = 'la' and text like '% %' and text not like '%=%'").select("raw", F.substring_index("text", "(", 1).alias("name"))
+    named = materialise(e.join(full, "raw").select("paper_id", "inst", "name").distinct(), "named")
+    at = named.where("inst is not null").groupBy("name", "inst").agg(F.count("*").alias("n"))
+    home = at.groupBy("name").agg(F.max_by("inst", F.struct("n", "inst")).alias("institution"), F.max("n").alias("most"), F.sum("n").alias("of")).where(f"most >= {LEAST_PAPERS} and most >= {AT_HOME} * of")
+    lost = e.where("inst is null")
+    told = lost.join(exact, "raw").select("paper_id", "institution").union(named.where("inst is null").join(home, "name").select("paper_id", "institution"))
+    seen = told.groupBy("paper_id").agg(F.max("institution").alias("inst2"), F.count_distinct("institution").alias("n"))
     return e.join(seen.where("n = 1").drop("n"), "paper_id", "left").select("paper_id", "author_no", "raw", F.coalesce("inst", "inst2").alias("inst"))
 
 
@@ -151,9 +163,10 @@ def resolve(papers: DataFrame, registry: DataFrame) -> DataFrame:
     """
     spark = papers.sparkSession
     ship_package(spark)
-    e = materialise(_located(entries(papers), registry), "entries")
-    spell = e.groupBy("raw", "inst").agg(F.count("*").alias("n"))
-    spell = spread(spell, "raw").mapInPandas(_formed, "raw string, inst string, n long, kind string, text string").where("kind <> ''")
+    e = materialise(entries(papers), "written")
+    forms = materialise(spread(e.select("raw").distinct(), "raw").mapInPandas(_formed, "raw string, kind string, text string"), "forms")
+    e = materialise(_located(e, registry, forms), "entries")
+    spell = e.groupBy("raw", "inst").agg(F.count("*").alias("n")).join(forms.where("kind <> ''"), "raw").select("raw", "inst", "n", "kind", "text")
     spell = materialise(spell, "spellings")
     var = spell.groupBy("text", "kind", F.when(F.col("kind") != "org", F.col("inst")).alias("inst")).agg(F.sum("n").alias("n"))
     var = materialise(var.withColumn("vid", F.xxhash64("text", "kind", F.coalesce("inst", F.lit("")))), "variants")
