@@ -109,6 +109,12 @@ def first_reason_pairs(*parts: DataFrame) -> DataFrame:
     return out.groupBy("a", "b").agg(F.min_by("reason", "prio").alias("reason"), F.min("prio").alias("prio"))
 
 
+def _bits(c: Column, word: int) -> Column:
+    """One word of the bitmap of an array's elements."""
+    at = F.filter(F.transform(c, lambda b: F.pmod(F.xxhash64(b), F.lit(64 * BITMAP))), lambda p: F.floor(p / 64) == word)
+    return F.aggregate(at, F.lit(0).cast("long"), lambda a, p: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(p, F.lit(64)).cast("int"))))
+
+
 def alike(left: DataFrame, right: DataFrame) -> DataFrame:
     """``t, u, g1, g2``: texts of the two one-column tables that may share LOOSE of their bigrams, with these.
 
@@ -120,9 +126,7 @@ def alike(left: DataFrame, right: DataFrame) -> DataFrame:
 
     keys = left.toDF("x").withColumn("side", F.lit(0)).union(right.toDF("x").withColumn("side", F.lit(1))).distinct()
     keys = keys.withColumn("id", F.xxhash64("x")).withColumn("g", bigrams(F.col("x")))
-    for i in range(BITMAP):
-        mine = F.filter(F.transform("g", lambda b: F.pmod(F.xxhash64(b), F.lit(64 * BITMAP))), lambda p, i=i: F.floor(p / 64) == i)
-        keys = keys.withColumn(f"b{i}", F.aggregate(mine, F.lit(0).cast("long"), lambda a, p: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(p, F.lit(64)).cast("int")))))
+    keys = keys.select("*", *[_bits(F.col("g"), i).alias(f"b{i}") for i in range(BITMAP)])
     keys = materialise(keys, "texts")
     bits = [f"b{i}" for i in range(BITMAP)]
     often = keys.select(F.explode("g").alias("b")).groupBy("b").agg(F.count("*").alias("often"))
