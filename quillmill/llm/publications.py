@@ -26,9 +26,9 @@ from quillmill.llm.canonical import canonical_text
 from quillmill.llm.components import hash_to_min
 from quillmill.session import discard, materialise, ship_package, spread
 
-K, TAKE, SKETCHES = 3, 4, 16
+K, TAKE, SKETCHES = 3, 5, 16
 #: Words of 64 bits in the bitmap of a title's k-mers, which rules out pairs before they are aligned.
-BITMAP = 4
+BITMAP = 6
 #: A key that more records hold is split by their authors' names; see ``_sides``.
 HOT = 500
 #: Share of the shorter title that edits may touch.
