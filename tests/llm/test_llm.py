@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 import random
 import tempfile
+import time
 import unicodedata
 
 import pytest
@@ -349,3 +351,25 @@ def test_same_title_ignores_instalments():
     p = publications.title_parts
     assert publications.same_title(p(TITLE), p(TITLE.split(":")[0]))
     assert not publications.same_title(p(TITLE), p(TITLE.replace("영향:", "영향 (제2보):")))
+
+
+def _on_disk(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    tables = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(shared) for f in fs)
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return tables, sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle"))
+
+
+def test_links_leave_little_on_disk(spark):
+    rng = random.Random(4)
+    words = ["기업", "금융", "정책", "수출", "고용", "기술", "혁신", "지역", "농업", "교육", "환경", "투자", "물류", "관광", "보건"]
+    rows = [(f"p{i:05d}", " ".join(rng.choices(words, k=12)), [f"{rng.choice('김이박최정')}{rng.choice('가나다라')}{rng.choice('마바사아')}"], 2000 + i % 20, None, "HIGH") for i in range(3000)]
+    d = spark.createDataFrame([(i, p, t, w, y, doi, None, None, c, None, None) for i, (p, t, w, y, doi, c) in enumerate(rows)], PAPER)
+    spark._jvm.System.gc()
+    time.sleep(3)
+    tables, shuffled = _on_disk(spark)
+    publications.links(d).count()
+    spark._jvm.System.gc()
+    time.sleep(3)
+    after = _on_disk(spark)
+    assert after[0] - tables < 100_000 and after[1] - shuffled < 100_000
