@@ -373,3 +373,28 @@ def test_links_leave_little_on_disk(spark):
     time.sleep(3)
     after = _on_disk(spark)
     assert after[0] - tables < 100_000 and after[1] - shuffled < 100_000
+
+
+def test_hot_keys_drop_no_pair(spark):
+    rows = [("n1", TITLE, ["나현기"], 2020, None, None), ("n2", TITLE, ["조은연"], 2021, None, None), ("u1", TITLE, None, 2020, None, None), ("u2", TITLE, [" "], 2021, None, "K1")]
+    rows += [("x1", None, ["나현기"], 2020, "10.1/x", None), ("x2", TITLE, [], 2020, "10.1/x", None), ("s1", TITLE, ["Plato", "강준예"], 2020, None, None), ("s2", TITLE, ["Plato", "홍하혁"], 2020, None, None)]
+    rows += [("i1", TITLE, ["강하린"], 2020, None, None), ("i2", TITLE, ["강하린수"], 2020, None, None)]
+    d = spark.createDataFrame(rows, "paper_id string, title string, authors array<string>, year int, doi string, kci_id string")
+    want = {tuple(sorted((x[0], y[0]))) for i, x in enumerate(rows) for y in rows[i + 1 :] if publications.same_publication((x[1], x[2], x[3], x[4]), (y[1], y[2], y[3], y[4]), x[4] == y[4] is not None)}
+    assert {("n1", "u1"), ("u1", "u2"), ("x1", "x2"), ("s1", "s2"), ("i1", "i2")} <= want
+    for hot in (1, 3, 500):
+        assert want <= {tuple(sorted((r.a, r.b))) for r in publications.candidates(d, hot=hot).collect()}
+
+
+def test_sides_against_all_pairs_of_names():
+    rng = random.Random(8)
+    known = ["나현기", "조은연", "유도오", "이보별", "오이", "Hyun-ki Na", "Yoo, Do-oh", "Na HK", "H.-K. Na", "Edward B. Gostwick", "Gostwick, E.", "Plato", "한울정책연구원", "한울정책연구원 편집부", "Hanul Policy Institute", "Nursiol Contents Team", "나현기 (Hyun-ki Na)", "Yun-ah O", "Ryu JH", "Yoo, Jin-ho"]
+    forms = list(known)
+    for x in known:
+        for _ in range(25):
+            i, t = rng.randrange(len(x)), rng.choice("aeghnorsuy가기현은")
+            forms.append(rng.choice([x[:i] + x[i + 1 :], x[:i] + t + x[i:], x[:i] + t + x[i + 1 :], x[:i] + x[i + 1 : i + 2] + x[i : i + 1] + x[i + 2 :]]))
+    forms = sorted({x for x in forms if x.strip()})
+    same = [(x, y) for x in forms for y in forms if x < y and publications.share_author([x], [y])]
+    assert len(same) > 1000
+    assert [(x, y) for x, y in same if not publications.author_sides(x) & publications.author_sides(y)] == []
