@@ -398,3 +398,18 @@ def test_sides_against_all_pairs_of_names():
     same = [(x, y) for x in forms for y in forms if x < y and publications.share_author([x], [y])]
     assert len(same) > 1000
     assert [(x, y) for x, y in same if not publications.author_sides(x) & publications.author_sides(y)] == []
+
+
+def test_distance_of_titles_of_any_length():
+    rng = random.Random(6)
+    for n in [0, 1, 2, 3, 8, 40, 70, 130, 399, 400, 450]:
+        for _ in range(4):
+            a = "".join(rng.choices("가나다라마바사", k=n))
+            b = list(a)
+            for _ in range(rng.randint(0, 6)):
+                i = rng.randrange(n + 1)
+                b[i : i + rng.randint(0, 2)] = rng.choices("가나다라마바사", k=rng.randint(0, 2))
+            b = "".join(b)
+            assert survivors.distance(a, b) == names.edits(a, b, max(len(a), len(b)))
+    long = "".join(rng.choices("가나다라마바사아자차카타파하", k=450))
+    assert survivors._distance(long[40:] + "가나다라", long) == names.edits(long[40:] + "가나다라", long, 450)
