@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +36,6 @@ LEAST_WORDS = 5
 GRAM, SLACK = 3, 14
 #: Windows of a document that must hit an item before the overlap is verified; fewer where an item has a sentence of fewer windows.
 LEAST_HITS = 3
-#: Of an item's seeds those are looked up that at most so many items share, and of every seven neighbouring ones the rarest.
-RARE, AROUND = 2, 3
 #: Bits of a seed that choose its place in the bitmap of the items' seeds; this changes the cost, not the result.
 PLACES = 24
 _WORD = re.compile(r"[^\W_]+")
@@ -166,20 +164,15 @@ def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             h, least = _hashes(words(t)), least_hits(t)
             for k, m in enumerate(MASKS):
                 s = seeds(h, m, k + 1)
-                parts.append(pd.DataFrame({"seed": s.view(np.int64), "item_id": i, "mask": k, "ipos": np.arange(len(s)), "least": least}))
+                parts.append(pd.DataFrame({"seed": s.view(np.int64), "item_id": i, "ipos": np.arange(len(s)), "least": least}))
         if parts:
             yield pd.concat(parts)
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """``seed, item_id, ipos, least`` of the seeds by which items are looked up."""
-    schema = T.StructType([T.StructField("seed", T.LongType()), items.schema["item_id"], *[T.StructField(c, T.IntegerType()) for c in ("mask", "ipos", "least")]])
-    every = materialise(items.mapInPandas(_item_seeds, schema), "itemseeds")
-    n = every.groupBy("seed").agg(F.count_distinct("item_id").alias("n"))
-    near = Window.partitionBy("item_id", "mask").orderBy("ipos").rowsBetween(-AROUND, AROUND)
-    kept = every.join(n, "seed").withColumn("low", F.min("n").over(near))
-    kept = kept.where(f"n <= {RARE} or n = low or least < {LEAST_HITS}")
-    return materialise(kept.select("seed", "item_id", "ipos", "least"), "seeds")
+    """``seed, item_id, ipos, least`` of all seeds of all items, however many items share one."""
+    schema = T.StructType([T.StructField("seed", T.LongType()), items.schema["item_id"], *[T.StructField(c, T.IntegerType()) for c in ("ipos", "least")]])
+    return materialise(items.mapInPandas(_item_seeds, schema), "seeds")
 
 
 def _windows(held, key: T.StructField):

@@ -413,3 +413,11 @@ def test_distance_of_titles_of_any_length():
             assert survivors.distance(a, b) == names.edits(a, b, max(len(a), len(b)))
     long = "".join(rng.choices("가나다라마바사아자차카타파하", k=450))
     assert survivors._distance(long[40:] + "가나다라", long) == names.edits(long[40:] + "가나다라", long, 450)
+
+
+def test_leaks_by_seeds_that_many_items_share(spark):
+    w = "모든 농촌 기업 자금 지원 제도 개편 효과 분석 결과 지역 고용 확대 경로 확인 추가 논의 필요 과제 제시".split()
+    items = [("whole", " ".join(w) + ".")] + [(f"part{k}", " ".join(w[:k]) + ".") for k in range(6, 21)]
+    docs = [("d", "앞말 하나 " + " ".join(w[:15]) + " 전혀 다른 말이 이어진다.")]
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(items, "item_id string, item_text string"))
+    assert ("d", "whole") in {(r.doc_id, r.item_id) for r in got.collect()}
