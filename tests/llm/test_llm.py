@@ -421,3 +421,27 @@ def test_leaks_by_seeds_that_many_items_share(spark):
     docs = [("d", "앞말 하나 " + " ".join(w[:15]) + " 전혀 다른 말이 이어진다.")]
     got = leaks.leaks(spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(items, "item_id string, item_text string"))
     assert ("d", "whole") in {(r.doc_id, r.item_id) for r in got.collect()}
+
+
+def test_shuffled_files_go_once_a_table_is_written(spark):
+    from quillmill.session import materialise
+
+    spark._jvm.System.gc()
+    time.sleep(3)
+    before = _on_disk(spark)[1]
+    sizes = []
+    for _ in range(5):
+        materialise(spark.range(300_000).withColumn("x", F.rand()).repartition(4, "id"))
+        time.sleep(2)
+        sizes.append(_on_disk(spark)[1] - before)
+    # those of the last table may wait for the next one
+    assert sizes[4] < 2.5 * sizes[0], sizes
+
+
+@pytest.mark.parametrize("most", [1, 4])
+def test_links_in_any_number_of_rounds(spark, small, monkeypatch, most):
+    rows = [(f"p{i:02d}", TITLE.replace("생산성", "생산성" + "가나다라마바사아자차"[i % 10]), ["나현기"], 2020, None, "HIGH") for i in range(30)]
+    monkeypatch.setattr(publications, "ROUND", most)
+    got = {(r.a, r.b) for r in publications.links(papers(spark, rows)).collect()}
+    assert len({x for e in got for x in e}) == 30 and all(a < b for a, b in got)
+    assert [r["count"] for r in publications.groups(papers(spark, rows)).groupBy("group_id").count().collect()] == [30]
