@@ -445,3 +445,9 @@ def test_links_in_any_number_of_rounds(spark, small, monkeypatch, most):
     got = {(r.a, r.b) for r in publications.links(papers(spark, rows)).collect()}
     assert len({x for e in got for x in e}) == 30 and all(a < b for a, b in got)
     assert [r["count"] for r in publications.groups(papers(spark, rows)).groupBy("group_id").count().collect()] == [30]
+
+
+@pytest.mark.parametrize("form,name", [("하린", "하린수"), ("나현기수", "나현기"), ("조연", "조은연")])
+def test_a_syllable_more_or_less_meets(form, name):
+    f, n = names.parse(form), names.parse(name)
+    assert names.likelihood(f, n) > 0 and names.block_keys(f, False) & names.block_keys(n)
