@@ -5,7 +5,8 @@ word at an ignored position does not hide a match.  Hashes of the documents' win
 are joined with those of the evaluation items' windows; a bitmap of fixed size keeps
 windows that no item has from being shuffled.  Where hits of one item gather on
 neighbouring diagonals, the overlap is verified by character alignment that tolerates
-substitutions, split words and layout.
+substitutions, split words and layout.  Few items are held by every task, which then
+finds and verifies their hits where the documents are, and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -34,10 +35,16 @@ NUMBERS = 0.75
 #: A sentence of fewer words is no passage.
 LEAST_WORDS = 5
 GRAM, SLACK = 3, 14
+#: Words by which the diagonals of neighbouring hits differ at most.
+NEAR = 4
 #: Windows of a document that must hit an item before the overlap is verified; fewer where an item has a sentence of fewer windows.
 LEAST_HITS = 3
 #: Bits of a seed that choose its place in the bitmap of the items' seeds; this changes the cost, not the result.
 PLACES = 24
+#: Bytes of the items' texts that a task may hold; more items are joined in the cluster. This changes the cost, not the result.
+HELD = 4 << 20
+#: Places of a document's GRAMs in the table that rules pairs out, documents scanned together, letters of items compared at once; cost only.
+SLOTS, SCANNED, LETTERS = 1 << 14, 100, 1 << 20
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+")
 _PAGE = re.compile(r"={3,}\s*PAGE\s*\d+\s*={3,}")
@@ -175,6 +182,22 @@ def item_seeds(items: DataFrame) -> DataFrame:
     return materialise(items.mapInPandas(_item_seeds, schema), "seeds")
 
 
+def _passed(tokens: list[list[str]], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(seed, document, position) of the windows whose place in the bitmap is taken."""
+    h = _hashes([w for ws in tokens for w in ws])
+    starts = np.cumsum([0] + [len(ws) for ws in tokens])
+    got, where = [], []
+    for k, m in enumerate(MASKS):
+        s = seeds(h, m, k + 1)
+        place = s >> np.uint64(64 - PLACES)
+        ok = np.flatnonzero(bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1))
+        got.append(s[ok])
+        where.append(ok)
+    seed, pos = np.concatenate(got), np.concatenate(where)
+    doc = np.searchsorted(starts, pos, "right") - 1
+    return seed, doc, pos - starts[doc]
+
+
 def _windows(held, key: T.StructField):
     """Windows of documents whose place in the bitmap is taken."""
 
@@ -183,20 +206,143 @@ def _windows(held, key: T.StructField):
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 ids = b.column(0).slice(at, 500)
-                tokens = [words(t) if t else [] for t in b.column(1).slice(at, 500).to_pylist()]
-                h = _hashes([w for ws in tokens for w in ws])
-                starts = np.cumsum([0] + [len(ws) for ws in tokens])
-                got, where = [], []
-                for k, m in enumerate(MASKS):
-                    s = seeds(h, m, k + 1)
-                    place = s >> np.uint64(64 - PLACES)
-                    ok = np.flatnonzero(bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1))
-                    got.append(s[ok])
-                    where.append(ok)
-                seed, pos = np.concatenate(got), np.concatenate(where)
+                seed, doc, pos = _passed([words(t) if t else [] for t in b.column(1).slice(at, 500).to_pylist()], bits)
                 if len(seed):
-                    doc = np.searchsorted(starts, pos, "right") - 1
-                    yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), ids.take(pa.array(doc)), pa.array((pos - starts[doc]).astype(np.int32))], names=["seed", "doc_id", "pos"])
+                    yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), ids.take(pa.array(doc)), pa.array(pos.astype(np.int32))], names=["seed", "doc_id", "pos"])
+
+    return run
+
+
+class Items:
+    """Seeds, letters and ranges of all items in flat arrays."""
+
+    def __init__(self, ids: pa.Array, texts: list[str]) -> None:
+        self.ids, self.texts = ids, texts
+        self.least = np.array([least_hits(t) for t in texts])
+        seed, item, ipos = [], [], []
+        for i, t in enumerate(texts):
+            h = _hashes(words(t))
+            for k, m in enumerate(MASKS):
+                s = seeds(h, m, k + 1)
+                seed.append(s)
+                item.append(np.full(len(s), i))
+                ipos.append(np.arange(len(s)))
+        every = np.concatenate(seed)
+        by = np.argsort(every, kind="stable")
+        self.item, self.ipos = np.concatenate(item)[by], np.concatenate(ipos)[by]
+        self.seed, self.first, self.count = np.unique(every[by], return_index=True, return_counts=True)
+        place = self.seed >> np.uint64(64 - PLACES)
+        self.bits = np.zeros(1 << PLACES - 6, dtype=np.uint64)
+        np.bitwise_or.at(self.bits, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+        held = [Passage(t) for t in texts]
+        # the slot of the gram at each letter; the last letters have none
+        self.slot = np.concatenate([np.concatenate((p.grams % np.uint64(SLOTS), np.full(len(p.letters) - len(p.grams), SLOTS))).astype(np.int32) for p in held])
+        self.letters, self.spans = np.array([len(p.letters) for p in held]), np.array([len(p.spans) for p in held])
+        self.start, self.word0 = np.concatenate([np.array(p.starts, dtype=np.int64) for p in held]), np.cumsum([0] + [len(p.starts) for p in held])
+        self.letter0, self.span0 = np.cumsum(self.letters) - self.letters, np.cumsum(self.spans) - self.spans
+        self.span = np.concatenate([p.spans for p in held])
+        self.numbers = np.array([len(p.numbers) for p in held])
+        self.number0, self.number = np.cumsum(self.numbers) - self.numbers, np.concatenate([p.numbers for p in held])
+        # of each range the numbers in it, as in Passage.cover, and their digits
+        inside = [(np.searchsorted(p.numbers[:, 0], p.spans[:, 0]), np.searchsorted(p.numbers[:, 1], p.spans[:, 1], "right")) for p in held]
+        self.inside = np.concatenate([np.stack((np.minimum(x, y), y), axis=1) for x, y in inside])
+        total = [np.concatenate(([0], np.cumsum(p.numbers[:, 1] - p.numbers[:, 0]))) for p in held]
+        self.digits = np.concatenate([t[y] - t[np.minimum(x, y)] for t, (x, y) in zip(total, inside)])
+
+    def hits(self, tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, position, position in the item) of all equal windows, in this order."""
+        seed, doc, pos = _passed(tokens, self.bits)
+        j = np.minimum(np.searchsorted(self.seed, seed), len(self.seed) - 1)
+        ok = self.seed[j] == seed
+        j, doc, pos = j[ok], doc[ok], pos[ok]
+        c = self.count[j]
+        at = _ranges(self.first[j], c)
+        doc, pos, item, ipos = np.repeat(doc, c), np.repeat(pos, c), self.item[at], self.ipos[at]
+        by = np.lexsort((ipos, pos, item, doc))
+        return doc[by], item[by], pos[by], ipos[by]
+
+    def may_hold(self, letters: list[str], doc: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether the document's grams, between two diagonals, can cover enough of a range of the item and of its numbers."""
+        first, last = np.full((len(letters), SLOTS + 1), 1 << 30, dtype=np.int32), np.full((len(letters), SLOTS + 1), -1 << 30, dtype=np.int32)
+        for d in np.unique(doc):
+            if len(letters[d]) >= GRAM:
+                at = (_grams(letters[d]) % np.uint64(SLOTS)).astype(np.int32)
+                last[d, at] = np.arange(len(at))
+                first[d, at[::-1]] = np.arange(len(at))[::-1]
+        out = np.zeros(len(doc), dtype=bool)
+        sums = np.cumsum(self.letters[item])
+        for some in np.split(np.arange(len(doc)), np.searchsorted(sums, np.arange(LETTERS, sums[-1], LETTERS))):
+            if not len(some):
+                continue
+            d, i = doc[some], item[some]
+            n = self.letters[i]
+            cell = np.repeat(d * (SLOTS + 1), n) + self.slot[_ranges(self.letter0[i], n)]
+            at = _ranges(np.zeros_like(n), n)
+            gram = (first.ravel()[cell] - at <= np.repeat(high[some] + SLACK, n)) & (last.ravel()[cell] - at >= np.repeat(low[some] - SLACK, n))
+            hit = gram.copy()
+            for g in range(1, GRAM):
+                hit[g:] |= gram[:-g]
+            before = np.concatenate(([0], np.cumsum(hit)))
+            k = self.numbers[i]
+            x, y = self.number[_ranges(self.number0[i], k)].T
+            base, last = np.repeat(np.cumsum(n) - n, k), np.repeat(n, k)
+            x2, y2 = np.maximum(x - 1, 0), np.minimum(y + 1, last)
+            good = ((before[base + y] - before[base + x2] == y - x2) | (before[base + y2] - before[base + x] == y2 - x)) * (y - x)
+            good = np.concatenate(([0], np.cumsum(good)))
+            m = self.spans[i]
+            at = _ranges(self.span0[i], m)
+            (a, b), (p, q), of = self.span[at].T, self.inside[at].T, self.digits[at]
+            base, number0 = np.repeat(np.cumsum(n) - n, m), np.repeat(np.cumsum(k) - k, m)
+            enough = (before[base + b] - before[base + a] >= COVER * (b - a) - 1e-6) & (good[number0 + q] - good[number0 + p] >= NUMBERS * of)
+            out[some[np.repeat(np.arange(len(some)), m)[enough]]] = True
+        return out
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its count."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def _scanned(held, key: T.StructField, item: T.StructField):
+    """Documents with the items that they contain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x: Items = held.value
+        for b in batches:
+            for at in range(0, b.num_rows, SCANNED):
+                tokens = [words(t) if t else [] for t in b.column(1).slice(at, SCANNED).to_pylist()]
+                doc, item, pos, ipos = x.hits(tokens)
+                if not len(doc):
+                    continue
+                same = np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])))
+                pair = np.cumsum(same) - 1
+                sizes = np.cumsum([0] + [len(ws) for ws in tokens])
+                ends = np.cumsum([0] + [len(w) for ws in tokens for w in ws])
+                # hits of a pair on neighbouring word diagonals, as _anchors has them, and the letter diagonals that they span
+                by = np.lexsort((pos - ipos, pair))
+                diag = (pos - ipos)[by]
+                part = np.empty(len(by), dtype=np.int64)
+                part[by] = np.cumsum(np.concatenate(([True], (pair[by][1:] != pair[by][:-1]) | (diag[1:] - diag[:-1] > NEAR)))) - 1
+                by = np.lexsort((pos, part))
+                new = np.concatenate(([True], part[by][1:] != part[by][:-1]))
+                start = np.flatnonzero(new)
+                new[1:] |= pos[by][1:] != pos[by][:-1]
+                far = ((ends[sizes[doc] + pos] - ends[sizes[doc]]) - x.start[x.word0[item] + ipos])[by]
+                low, high, one = np.minimum.reduceat(far, start), np.maximum.reduceat(far, start), by[start]
+                ok = np.add.reduceat(new.astype(np.int64), start) >= x.least[item[one]]
+                one = one[ok]
+                if not len(one):
+                    continue
+                ok = x.may_hold(["".join(ws) for ws in tokens], doc[one], item[one], low[ok], high[ok])
+                begin = np.append(np.flatnonzero(same), len(doc))
+                got = []
+                for k in np.unique(pair[one[ok]]):
+                    s, e = begin[k], begin[k + 1]
+                    if contains(tokens[doc[s]], x.texts[item[s]], pos[s:e], ipos[s:e], x.least[item[s]]):
+                        got.append((doc[s], item[s]))
+                if got:
+                    d, i = zip(*got)
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(at, SCANNED).take(pa.array(d)), x.ids.take(pa.array(i))], names=["doc_id", "item_id"])
 
     return run
 
@@ -217,7 +363,7 @@ def _anchors(at: np.ndarray, ip: np.ndarray, least: int) -> list[int]:
     lo, hi = np.searchsorted(pos, pos - 2 * STRETCH, "left"), np.searchsorted(pos, pos + 2 * STRETCH, "right")
     out = []
     for k, r in enumerate(order):
-        near = pos[lo[k] : hi[k]][np.abs(diag[lo[k] : hi[k]] - diag[k]) <= 4]
+        near = pos[lo[k] : hi[k]][np.abs(diag[lo[k] : hi[k]] - diag[k]) <= NEAR]
         if len(near) >= least and len(np.unique(near)) >= least:
             out.append(int(r))
     return out
@@ -228,9 +374,9 @@ def passage(text: str) -> Passage:
     return Passage(text)
 
 
-def contains(text: str, item: str, at: np.ndarray, ip: np.ndarray, least: int) -> bool:
-    """Whether an item's passage stands in ``text`` around the hits ``at`` (window of the text), ``ip`` (of the item)."""
-    flat, p = words(text), passage(item)
+def contains(flat: list[str], item: str, at: np.ndarray, ip: np.ndarray, least: int) -> bool:
+    """Whether an item's passage stands in the words ``flat`` of a text around the hits ``at`` (window of the text), ``ip`` (of the item)."""
+    p = passage(item)
     tested = -1
     for r in _anchors(at, ip, least):
         if at[r] <= tested:
@@ -245,7 +391,7 @@ def contains(text: str, item: str, at: np.ndarray, ip: np.ndarray, least: int) -
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        keep = [contains(t, i, np.array(at), np.array(ip), least) for t, i, at, ip, least in zip(b["text"], b["item_text"], b["at"], b["ip"], b["least"])]
+        keep = [contains(words(t), i, np.array(at), np.array(ip), least) for t, i, at, ip, least in zip(b["text"], b["item_text"], b["at"], b["ip"], b["least"])]
         yield b[keep][["doc_id", "item_id"]]
 
 
@@ -257,17 +403,25 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     one = items.where("item_text is not null and item_text <> '' and item_id is not null").select("item_id", "item_text").dropDuplicates(["item_id"])
+    base = docs.where("text is not null and text <> '' and doc_id is not null").select("doc_id", "text")
+    key, item = docs.schema["doc_id"], items.schema["item_id"]
+    one = materialise(one, "items")
+    if (one.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0) <= HELD:
+        got = one.toArrow().combine_chunks()  # at most HELD bytes of texts
+        texts = got.column("item_text").to_pylist()
+        if not any(len(words(t)) >= min(map(len, MASKS)) for t in texts):
+            return spark.createDataFrame([], T.StructType([key, item]))
+        ids = pa.concat_arrays(got.column("item_id").chunks)
+        return occupied(base, "doc_id").mapInArrow(_scanned(spark.sparkContext.broadcast(Items(ids, texts)), key, item), T.StructType([key, item])).distinct()
     sought = item_seeds(one)
     place = F.shiftrightunsigned("seed", 64 - PLACES)
     taken = sought.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - PLACES}) & 63 as int))")).alias("bits"))
     bits = np.zeros(1 << PLACES - 6, dtype=np.int64)
     got = taken.toArrow()  # at most 2 ** PLACES bits
     bits[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    base = docs.where("text is not null and text <> '' and doc_id is not null").select("doc_id", "text")
-    key, item = docs.schema["doc_id"], items.schema["item_id"]
     rows = T.StructType([T.StructField("seed", T.LongType()), key, T.StructField("pos", T.IntegerType())])
     hits = occupied(base, "doc_id").mapInArrow(_windows(spark.sparkContext.broadcast(bits.tobytes()), key), rows).join(sought, "seed")
-    hits = hits.groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("pos", "ipos")).alias("h"), F.first("least").alias("least")).where("size(h) >= least")
+    hits = hits.groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ipos"))).alias("h"), F.first("least").alias("least")).where("size(h) >= least")
     pairs = hits.select("doc_id", "item_id", "h.pos", "h.ipos", "least").toDF("doc_id", "item_id", "at", "ip", "least")
     near = materialise(pairs.mapInPandas(_gathered, pairs.schema), "near")
     texts = base.join(broadcast_if_small(near.select("doc_id").distinct()), "doc_id", "left_semi")

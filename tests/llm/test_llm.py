@@ -451,3 +451,26 @@ def test_links_in_any_number_of_rounds(spark, small, monkeypatch, most):
 def test_a_syllable_more_or_less_meets(form, name):
     f, n = names.parse(form), names.parse(name)
     assert names.likelihood(f, n) > 0 and names.block_keys(f, False) & names.block_keys(n)
+
+
+def test_leaks_by_scan_and_by_join_are_the_same(spark, monkeypatch):
+    rng = random.Random(12)
+    phrase = "이 연구의 결과는 지역 기업의 정책 지원과 관련하여 다음과 같이 나타났다".split()
+    some = lambda n: [rng.choice("가나다라마바사") + rng.choice("아자차카타파하") + str(rng.randrange(30)) * rng.randint(0, 1) for _ in range(n)]
+    items = [(i, " ".join([*some(8), *phrase, *some(rng.randint(0, 9))]) + ". " + " ".join(some(rng.randint(0, 12))) + ".") for i in range(60)] + [(90, "a"), (91, "!?"), (92, " ".join(phrase))]
+    docs = []
+    for k in range(300):
+        t = rng.choice(items)[1]
+        at = rng.randrange(len(t))
+        edited = t[:at] + rng.choice(["", " ", "x"]) + t[at + rng.randint(0, 2) :]
+        docs.append((k, " ".join(some(20)) + " " + rng.choice([edited, t, " ".join(phrase), edited.replace(" ", "\n")]) + " " + " ".join([*phrase, *some(20)])))
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string")
+    spark._jvm.System.gc()
+    time.sleep(2)
+    before = _on_disk(spark)[1]
+    scanned = [tuple(r) for r in leaks.leaks(d, i).collect()]
+    # pairs that only share a phrase are not shuffled with their texts
+    assert _on_disk(spark)[1] - before < 100_000
+    monkeypatch.setattr(leaks, "HELD", 0)
+    joined = [tuple(r) for r in leaks.leaks(d, i).collect()]
+    assert len(scanned) > 150 and sorted(scanned) == sorted(joined)
