@@ -474,3 +474,19 @@ def test_leaks_by_scan_and_by_join_are_the_same(spark, monkeypatch):
     monkeypatch.setattr(leaks, "HELD", 0)
     joined = [tuple(r) for r in leaks.leaks(d, i).collect()]
     assert len(scanned) > 150 and sorted(scanned) == sorted(joined)
+
+
+def test_survivors_write_no_list_of_all_pairs(spark, monkeypatch):
+    rows = [(f"p{i:02d}", TITLE + " " + "가나다라마바사아자차카타파하"[i % 14] * (1 + i // 14), ["나현기"], 2020, None, "HIGH") for i in range(30)]
+    made, real = {}, publications.materialise
+
+    def seen(df, label="step"):
+        out = real(df, label)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(publications, "materialise", seen)
+    monkeypatch.setattr(publications, "ROUND", 4)
+    got = {r.group_id for r in survivors.found(papers(spark, rows)).collect()}
+    # 435 pairs meet, of which a round compares about 4 a record
+    assert len(got) == 1 and max(made.values()) < 2 * 4 * 30, made
