@@ -490,3 +490,11 @@ def test_survivors_write_no_list_of_all_pairs(spark, monkeypatch):
     got = {r.group_id for r in survivors.found(papers(spark, rows)).collect()}
     # 435 pairs meet, of which a round compares about 4 a record
     assert len(got) == 1 and max(made.values()) < 2 * 4 * 30, made
+
+
+def test_connected_leaves_only_its_own_table(spark, small):
+    registry = spark.createDataFrame([("A1", "나현기", "Hyun-ki Na", "person", "한울대학교")], REG)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    got = {r.paper_id: r.component for r in splits.connected(small, registry).collect()}
+    assert got["a"] == got["b"] == got["c"] and {x.split("-")[1] for x in set(os.listdir(shared)) - before} == {"members"}
