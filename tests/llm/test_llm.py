@@ -281,6 +281,46 @@ def test_reader():
     assert r.repair("업체틀 조사한\n\n<12>\n\n결과 집계되-\n어 개선되었다.") == "업체를 조사한 결과 집계되어 개선되었다."
 
 
+def test_trie_of_wide_edits_against_brute_force():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(200)]
+    index = scans.NearIndex(words)
+
+    def wide(w, v):
+        return _lev(w, v) <= 1 or any(w[:i] + v[i : i + 3 - k] + w[i + k :] == v for i in range(len(w)) for k in (1, 2) if i + k <= len(w) and i + 3 - k <= len(v))
+
+    for _ in range(100):
+        w = "".join(rng.choice("abc") for _ in range(rng.randint(1, 6)))
+        assert set(index.near(w, wide=True)) == {v for v in words if wide(w, v)}
+
+
+def test_confusions_of_two_letters_and_by_share(spark):
+    true = "window weather worker power tower flower answer".split()
+    chance = "lemon metal melon petal level never seven serve".split()
+    others = "bread cream dream eager early earth field chief thief piece grief niece green speed steel wheel cheek creek queen greed".split()
+    frequent = {w: 1000 for w in true + chance + others}
+    rare = [w.replace("w", "uu") for w in true] + [w.replace("e", "o", 1) for w in chance[:6]]
+    counts = spark.createDataFrame([(w, n, n) for w, n in [*frequent.items(), *((w, 5) for w in rare)]], "word string, n long, n_in long")
+    pairs, near = scans.confusions(counts, frequent)
+    assert pairs == [("uu", "w", 1)] and near == {}
+
+
+def test_misread_places_together():
+    v = {w: (500, 400) for w in ("수출성과를", "관리도가")} | {"수출섬과를": (6, 5)}
+    r = scans.Reader(v, [("섬", "성", 1)])
+    assert r.meant("쑤출섬과를") == "수출성과를" and r.meant("괸리도가") == "관리도가" and r.meant("관리도가") is None
+
+
+def test_unlisted_misread_by_its_neighbours(spark):
+    line = "업체를 조사한 결과 품질 관리도가 크게 개선되었다."
+    other = "어느 설비는 처음부터 다른 곳에 놓였다."
+    rows = [line] * 200 + [other] * 4 + [line.replace("관리도가", "관래도가"), "어느 설비는 관래도가 다른 곳에 놓였다."]
+    s = spark.createDataFrame([(i, f"p{i}", t) for i, t in enumerate(rows)], "section_id long, paper_id string, content string")
+    assert [tuple(r) for r in scans.noise(s).collect()] == [(204, "misread")]
+    text = {r.section_id: r.text for r in scans.repaired(s).collect()}
+    assert text[204] == line and text[205] == rows[205]
+
+
 def test_repaired_drops_title_lines(spark, small):
     title = TITLE.split(":")[0]
     s = spark.createDataFrame([(1, "a", f"앞 문단의 글이 여기서\n\n{title}\n\n이어진다."), (2, "zz", f"앞 글이\n\n{title}\n\n이어진다."), (3, "a", None), (4, None, "")], "section_id long, paper_id string, content string")
