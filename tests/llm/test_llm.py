@@ -146,6 +146,20 @@ def test_chains_of_names(spark):
     assert [ends[k] for k in "abcxrs"] == ["d", "d", "d", "d", "r", "r"]
 
 
+def test_errors_on_many_papers_are_attached(spark):
+    """An error of 3 % of the papers is one however many there are; a name on half as many papers is another person's."""
+    rows = [(0.004, v * k, 1256 * k, k, known) for k in (1, 10, 1000) for v, known in ((44, True), (628, False))]
+    d = spark.createDataFrame(rows, "lik double, v_n long, c_n long, k int, known boolean")
+    no = F.lit(False)
+    got = d.select("k", "known", authors._attach(F.col("lik"), F.col("v_n"), F.col("c_n"), F.lit(True), no, no).isNotNull().alias("is")).collect()
+    assert all(r["is"] == r.known for r in got), got
+
+
+def test_short_form_of_two_names():
+    for whole in ("Edward K. Harlquist", "Theodore K. Harlquist"):
+        assert names.likelihood(names.parse("Ted Harlquist"), names.parse(whole)) >= authors.SYSTEMATIC
+
+
 def test_log_factorial(spark):
     import math
 
