@@ -228,7 +228,7 @@ def xml_dublin_core(k, at):
 def token_harvest(k, at):
     """The feed page by page with resumption tokens, failing requests repeated, in parallel date ranges."""
     pages = harvest.paged(oai.to_xml(k.where("identifier <> ''"), keep=("datestamp",)), ["0000", "2015", "2020", "2023"], 500)
-    pages.write.parquet(f"{at}/feed")
+    harvest.write_feed(pages, f"{at}/feed")
     got = harvest.harvested(k.sparkSession, harvest.FolderFeed(f"{at}/feed", fails_every=7), retries=5, wait=0)
     return oai.parse_records(got.select("xml")).select("identifier")
 

@@ -77,32 +77,58 @@ def records_of(root: ElementTree.Element) -> tuple[list[str], str | None]:
 
 
 class FolderFeed:
-    """A feed kept as Parquet files of ``within, page, xml`` (see :func:`paged`); every ``fails_every``-th request fails once, for tests."""
+    """A feed kept as Parquet files of ``within, page, xml`` (see :func:`write_feed`); every ``fails_every``-th request fails once, for tests.
+
+    A request reads only the row groups that may hold its page, which their statistics tell.
+    """
 
     def __init__(self, folder: str, fails_every: int = 0) -> None:
         self.folder, self.fails_every, self.asked = folder.removeprefix("file://"), fails_every, 0
+        self._groups: list[tuple] | None = None
 
-    def _rows(self, **only):
-        import pyarrow.dataset as ds
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_groups": None}
 
-        data = ds.dataset(self.folder, format="parquet", exclude_invalid_files=True)
-        keep = None
-        for k, v in only.items():
-            keep = (ds.field(k) == v) if keep is None else keep & (ds.field(k) == v)
-        return data.to_table(columns=["within", "page", "xml"] if only else ["within"], filter=keep)
+    def _index(self) -> list[tuple]:
+        """``(least within, most, least page, most, file, row group)`` of all row groups; without bounds where a file has none."""
+        if self._groups is None:
+            import pyarrow.dataset as ds
+
+            self._groups = []
+            for f in ds.dataset(self.folder, format="parquet", exclude_invalid_files=True).get_fragments():
+                for g in f.row_groups:
+                    w, p = (g.statistics or {}).get("within"), (g.statistics or {}).get("page")
+                    self._groups.append((w and w["min"], w and w["max"], p and p["min"], p and p["max"], f, g.id))
+        return self._groups
 
     def ranges(self) -> list[str]:
-        return sorted(set(self._rows().column("within").to_pylist()))
+        out: set[str] = set()
+        for w0, w1, _, _, f, g in self._index():
+            out |= {w0} if w0 is not None and w0 == w1 else set(f.subset(row_group_ids=[g]).to_table(columns=["within"]).column(0).to_pylist())
+        return sorted(out)
 
     def page(self, within: str, token: str | None) -> tuple[list[str], str | None]:
+        import pyarrow.dataset as ds
+
         self.asked += 1
         if self.fails_every and self.asked % self.fails_every == 0:
             raise OSError("no answer")
         n = int(token or 0)
-        rows = self._rows(within=within, page=n).column("xml").to_pylist()
+        rows: list[str] = []
+        for w0, w1, p0, p1, f, g in self._index():
+            if (w0 is None or w0 <= within <= w1) and (p0 is None or p0 <= n <= p1):
+                rows += f.subset(row_group_ids=[g]).to_table(columns=["xml"], filter=(ds.field("within") == within) & (ds.field("page") == n)).column("xml").to_pylist()
         return rows, str(n + 1) if rows else None
 
 
+def write_feed(pages: DataFrame, folder: str) -> None:
+    """Writes the table of :func:`paged` sorted, neighbours together, and in small row groups, so that a page is read without the rest."""
+    from quillmill.session import spread
+
+    spread(pages, "within", F.floor(F.col("page") / 16)).sortWithinPartitions("within", "page").write.option("compression", "zstd").option("parquet.block.size", 1 << 18).parquet(folder)
+    pages.sparkSession._jvm.System.gc()  # for the files that were shuffled
+
+
 def patient(ask, retries: int, wait: float):
     """The answer of ``ask``, repeated after pauses of ``wait``, ``2 * wait`` ... seconds; errors of the protocol are not repeated."""
     for attempt in range(1, retries + 1):
@@ -144,4 +170,4 @@ def paged(records: DataFrame, starts: list[str], size: int) -> DataFrame:
         within = F.when(F.coalesce("datestamp", F.lit("")) >= s, s).otherwise(within)
     d = records.withColumn("within", within)
     n = d.groupBy("within").agg(F.ceil(F.count("*") / size).cast("int").alias("pages"))
-    return d.join(n, "within").select("within", F.pmod(F.xxhash64("xml"), F.col("pages")).cast("int").alias("page"), "xml")
+    return d.join(F.broadcast(n), "within").select("within", F.pmod(F.xxhash64("xml"), F.col("pages")).cast("int").alias("page"), "xml")

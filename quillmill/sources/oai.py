@@ -8,7 +8,7 @@ import re
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,11 +32,11 @@ _ARTICLE = re.compile(r"artiId=(ART\d+)", re.I)
 
 def local(tag: str) -> str:
     """Name of an element without its namespace."""
-    return tag.rpartition("}")[2]
+    return tag.rpartition("}")[2] if tag[0] == "{" else tag
 
 
 def _text(e) -> str:
-    return " ".join("".join(e.itertext()).split())
+    return " ".join(("".join(e.itertext()) if len(e) else e.text or "").split())
 
 
 class _Languages:
@@ -135,11 +135,13 @@ def parse_records(df: DataFrame, xml: str = "xml") -> DataFrame:
     record of format ``unknown``; see :func:`kept_records`.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [(f.name, pa.list_(pa.string()) if f.name in LISTS else pa.string()) for f in RECORD]
         for b in batches:
-            yield pd.DataFrame([parsed(x or "") for x in b[xml]], columns=RECORD.fieldNames())
+            rows = [parsed(x or "") for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in kinds], names=[n for n, _ in kinds])
 
-    return df.select(xml).mapInPandas(run, RECORD)
+    return df.select(xml).mapInArrow(run, RECORD)
 
 
 def kept_records(records: DataFrame) -> DataFrame:
