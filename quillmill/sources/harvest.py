@@ -125,7 +125,7 @@ def write_feed(pages: DataFrame, folder: str) -> None:
     """Writes the table of :func:`paged` sorted, neighbours together, and in small row groups, so that a page is read without the rest."""
     from quillmill.session import spread
 
-    spread(pages, "within", F.floor(F.col("page") / 16)).sortWithinPartitions("within", "page").write.option("compression", "zstd").option("parquet.block.size", 1 << 18).parquet(folder)
+    spread(pages, "within", F.floor(F.col("page") / 16)).sortWithinPartitions("within", "page").write.option("compression", "zstd").option("parquet.block.size", 1 << 18).option("parquet.block.size.row.check.max", 500).parquet(folder)
     pages.sparkSession._jvm.System.gc()  # for the files that were shuffled
 
 
