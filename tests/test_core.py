@@ -315,3 +315,12 @@ def test_a_page_is_read_without_the_rest(spark, tmp_path):
             if token is None:
                 break
     assert len(got) == len(set(got)) == 20_000
+
+
+def test_best_match_of_a_title_that_repeats_itself(spark):
+    """One title contains the other, but shares few of its distinct bigrams."""
+    part = "ab" * 20 + "c"
+    own = spark.createDataFrame([("p", part)], "paper_id string, t string")
+    index = spark.createDataFrame([("k", part + "defghijkl", 1)], "article_id string, u string, _ord int")
+    got = dedupe.best_match(own, "paper_id", "t", index, "article_id", "u", "_ord").collect()
+    assert [(r.article_id, round(r.similarity, 2)) for r in got] == [("k", 0.82)]
